@@ -12,8 +12,15 @@ from echofind.functions.features import token_frequency, token_set
 from echofind.functions.text import as_column, bind
 
 
-def _squared_norm(counts: Column) -> Column:
-    return F.aggregate(counts, F.lit(0).cast("bigint"), lambda acc, c: acc + c["tf"] * c["tf"])
+def count_vector(text: Column | str) -> Column:
+    """Word counts of a text and their squared norm, as one struct."""
+    return bind(
+        token_frequency(text),
+        lambda counts: F.struct(
+            counts.alias("counts"),
+            F.aggregate(counts, F.lit(0).cast("bigint"), lambda acc, c: acc + c["tf"] * c["tf"]).alias("squared"),
+        ),
+    )
 
 
 def _dot(left: Column, right: Column) -> Column:
@@ -38,22 +45,24 @@ def _dot(left: Column, right: Column) -> Column:
     )
 
 
-def cosine_of_counts(left: Column | str, right: Column | str) -> Column:
-    """Cosine of two ``array<struct<token,tf>>``; 0.0 when one has no tokens."""
+def cosine_of_vectors(left: Column | str, right: Column | str) -> Column:
+    """Cosine of two ``count_vector`` structs; 0.0 when one has no words."""
 
     def score(a: Column, b: Column) -> Column:
-        norms = F.sqrt(_squared_norm(a).cast("double")) * F.sqrt(_squared_norm(b).cast("double"))
-        return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(_dot(a, b) / norms)
+        norms = F.sqrt(a["squared"].cast("double")) * F.sqrt(b["squared"].cast("double"))
+        return F.when((a["squared"] == 0) | (b["squared"] == 0), F.lit(0.0)).otherwise(
+            _dot(a["counts"], b["counts"]) / norms
+        )
 
     return _bound(left, right, score)
 
 
-def euclidean_of_counts(left: Column | str, right: Column | str) -> Column:
-    """1 / (1 + Euclidean distance) of two ``array<struct<token,tf>>``."""
+def euclidean_of_vectors(left: Column | str, right: Column | str) -> Column:
+    """1 / (1 + Euclidean distance) of two ``count_vector`` structs."""
 
     def score(a: Column, b: Column) -> Column:
-        squared = _squared_norm(a) + _squared_norm(b) - F.lit(2).cast("bigint") * _dot(a, b)
-        return F.lit(1.0) / (F.lit(1.0) + F.sqrt(squared.cast("double")))
+        distance = a["squared"] + b["squared"] - F.lit(2).cast("bigint") * _dot(a["counts"], b["counts"])
+        return F.lit(1.0) / (F.lit(1.0) + F.sqrt(distance.cast("double")))
 
     return _bound(left, right, score)
 
@@ -89,8 +98,8 @@ class Measure:
 
 
 # Cosine of the two word-count vectors; 0.0 when a text has no words.
-cosine_similarity = Measure(token_frequency, cosine_of_counts)
+cosine_similarity = Measure(count_vector, cosine_of_vectors)
 # 1 / (1 + Euclidean distance of the word-count vectors).
-euclidean_similarity = Measure(token_frequency, euclidean_of_counts)
+euclidean_similarity = Measure(count_vector, euclidean_of_vectors)
 # Jaccard similarity of the distinct words; two empty texts give 0.0.
 jaccard_text = Measure(token_set, _token_sets_jaccard)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +12,15 @@ from echofind.functions.hashing import signature_to_binary
 
 PAIR_SCHEMA = T.StructType([T.StructField("id1", T.LongType()), T.StructField("id2", T.LongType())])
 FORMATS = ("parquet", "csv")
-CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+# Quotes are doubled and outer blanks kept, so that any text comes back as written.
+CSV_WRITE = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+CSV_READ = {**CSV_WRITE, "multiLine": True}
 
 
 def _path_format(path: str) -> str:
@@ -37,17 +44,16 @@ def _require_path(spark: SparkSession, path: str) -> bool:
     return fs.getFileStatus(target).isDirectory()
 
 
-def _read_format(spark: SparkSession, path: str, kind: str, directory: bool, ignore_corrupt: bool) -> DataFrame | None:
+def _read_format(spark: SparkSession, path: str, kind: str, directory: bool, ignore_corrupt: bool) -> DataFrame:
     reader = spark.read.option("ignoreCorruptFiles", ignore_corrupt)
     if directory:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{kind}")
-    try:
-        frame = reader.options(**CSV_OPTIONS).csv(path) if kind == "csv" else reader.parquet(path)
-    except AnalysisException as error:
-        if directory and error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return None
-        raise
-    return frame if frame.columns else None
+    return reader.options(**CSV_READ).csv(path) if kind == "csv" else reader.parquet(path)
+
+
+def _has_files(spark: SparkSession, path: str, kind: str) -> bool:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{kind}")
+    return not files.load(path).select("path").isEmpty()
 
 
 def read_corpus(
@@ -66,9 +72,8 @@ def read_corpus(
     ``ignore_corrupt_files`` is set.
     """
     directory = _require_path(spark, path)
-    kinds = FORMATS if directory else (_path_format(path),)
+    kinds = [k for k in FORMATS if _has_files(spark, path, k)] if directory else [_path_format(path)]
     frames = [_read_format(spark, path, kind, directory, ignore_corrupt_files) for kind in kinds]
-    frames = [frame for frame in frames if frame is not None]
     if not frames:
         raise ValueError(f"No parquet or CSV data under {path}")
     for frame in frames:
@@ -103,7 +108,7 @@ def _write(df: DataFrame, path: str) -> int:
     counter = Observation()
     writer = df.observe(counter, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
     if kind == "csv":
-        writer.options(header=True, quote='"', escape='"').csv(path)
+        writer.options(**CSV_WRITE).csv(path)
     else:
         writer.parquet(path)
     rows = counter.get["n"]
