@@ -101,11 +101,13 @@ def pair_diff(texts: DataFrame) -> DataFrame:
 
     Each side is an array of ``(op, word)`` with op ``keep`` and ``deleted`` in
     text 1, ``keep`` and ``added`` in text 2. The table walk is sequential, so
-    it runs in Python on Arrow batches; it is meant for sampled pairs.
+    it runs in Python on Arrow batches; it is meant for sampled pairs. A sample
+    is a single partition, so the pairs are first dealt out to all slots.
     """
+    slots = texts.sparkSession.sparkContext.defaultParallelism
     split = texts.select("id1", "id2", words("text1").alias("words1"), words("text2").alias("words2"))
     present = split.where("words1 is not null and words2 is not null")
-    return present.mapInPandas(
+    return present.repartition(2 * slots, "id1", "id2").mapInPandas(
         _diff_batches, f"id1 bigint, id2 bigint, diff1 {MARK_TYPE}, diff2 {MARK_TYPE}"
     )
 

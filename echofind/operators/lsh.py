@@ -125,7 +125,10 @@ def _bucket_links(entries: DataFrame, band: str, source: str, hot_bucket_size: i
         .where("n > 1")
     )
     shared = entries.join(sizes, keys)
-    usual = shared.where(F.col("n") <= hot_bucket_size)
+    # The explicit repartitioning frees the size join from keeping its layout,
+    # so that adaptive execution may split a hot bucket there; what is moved
+    # again is only the entries of usual buckets with more than one member.
+    usual = shared.where(F.col("n") <= hot_bucket_size).select(*keys, "doc_id").repartition(*keys)
     left = usual.select(*keys, F.col("doc_id").alias("id1"))
     right = usual.select(*keys, F.col("doc_id").alias("id2"))
     pairs = left.join(right, keys).where("id1 < id2").select("id1", "id2").distinct()

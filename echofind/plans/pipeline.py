@@ -71,6 +71,13 @@ class Options:
         """Width of a bit signature."""
         return self.sample_size if self.fingerprint == "bitsampling" else self.hash_bits
 
+    @property
+    def needs_minhash(self) -> bool:
+        """Whether a document without MinHash signature can be no candidate."""
+        if self.index_method == "hybrid":
+            return self.merge_strategy != "union"
+        return self.index_method == "minhash"
+
     @property
     def signature_columns(self) -> tuple[str, ...]:
         return ("minhash", "simhash") if self.fingerprint == "hybrid" else ("signature",)
@@ -141,10 +148,14 @@ def compute_signatures(cleaned: DataFrame, options: Options) -> DataFrame:
 
 
 def text_groups(signatures: DataFrame, options: Options) -> DataFrame:
-    """One row per distinct cleaned text; the counts combine before the shuffle."""
-    columns = options.signature_columns
-    present = signatures.where(F.col(columns[0]).isNotNull())
-    return lsh.signature_groups(present, ("digest", *columns))
+    """One row per distinct cleaned text that can be a candidate.
+
+    The counts combine before the shuffle.
+    """
+    present = signatures
+    if options.needs_minhash:
+        present = signatures.where(F.col(options.signature_columns[0]).isNotNull())
+    return lsh.signature_groups(present, ("digest", *options.signature_columns))
 
 
 def candidate_links(signatures: DataFrame, options: Options) -> DataFrame:

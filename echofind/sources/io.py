@@ -48,7 +48,10 @@ def _read_format(spark: SparkSession, path: str, kind: str, directory: bool, ign
     reader = spark.read.option("ignoreCorruptFiles", ignore_corrupt)
     if directory:
         reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{kind}")
-    return reader.options(**CSV_READ).csv(path) if kind == "csv" else reader.parquet(path)
+    if kind == "parquet":
+        return reader.parquet(path)
+    # CSV cannot tell an empty field from a missing one: both are empty texts.
+    return reader.options(**CSV_READ).csv(path).na.fill("")
 
 
 def _has_files(spark: SparkSession, path: str, kind: str) -> bool:

@@ -29,7 +29,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     task. A large scan is returned unchanged, so nothing is shuffled for it.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 4 * slots:
+    if df.rdd.getNumPartitions() >= slots:
         return df
     return df.repartition(4 * slots, key)
 
