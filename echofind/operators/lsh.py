@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,9 @@ from echofind.sources.store import stored
 
 HOT_BUCKET_SIZE = 1000
 TILE_ROWS = 1000
-FLIP_RADIUS = 2
+# Bit flips are used up to this many masks per signature: their cost is linear
+# and does not depend on how the signatures cluster.
+MAX_FLIPS = 15_000
 MERGE_STRATEGIES = ("union", "intersection", "two-stage", "weighted")
 
 Match = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
@@ -248,9 +251,22 @@ def minhash_query(
 # --- SimHash index --------------------------------------------------------------
 
 
+def _by_flips(method: str, other: str, hash_bits: int, radius: int) -> bool:
+    """Whether to flip bits rather than join on parts of the signature."""
+    check_hash_bits(hash_bits)
+    if method not in ("auto", "flips", other):
+        raise ValueError(f"method must be auto, flips or {other}")
+    if method == "auto":
+        return sum(comb(hash_bits, k) for k in range(1, radius + 1)) <= MAX_FLIPS
+    return method == "flips"
+
+
 def _flipped(signature: Column, hash_bits: int, radius: int, with_self: bool) -> Column:
     masks = ([0] if with_self else []) + flip_masks(hash_bits, radius)
-    literal = F.array(*[F.lit(m).cast("bigint") for m in masks])
+    if not masks:
+        return F.array().cast("array<bigint>")
+    # One literal for the planner, folded to an array constant.
+    literal = F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")
     return F.transform(literal, lambda mask: signature.bitwiseXOR(mask))
 
 
@@ -337,14 +353,12 @@ def simhash_candidate_pairs(
 
     ``flips`` probes the flipped neighbours of each distinct signature,
     ``blocks`` joins on radius + 1 bit blocks and verifies the distance. Both
-    are exact; ``auto`` flips up to radius 2.
+    are exact; ``auto`` flips while there are at most ``MAX_FLIPS`` masks.
     """
-    check_hash_bits(hash_bits)
-    if method not in ("auto", "flips", "blocks"):
-        raise ValueError("method must be auto, flips or blocks")
+    flips = _by_flips(method, "blocks", hash_bits, radius)
     present = signatures.where(F.col(signature).isNotNull())
     groups = signature_groups(present, (signature,), id_col)
-    if method == "flips" or (method == "auto" and radius <= FLIP_RADIUS):
+    if flips:
         pairs = _pairs_by_flips(groups, radius, hash_bits, signature, None)
     else:
         pairs = _pairs_by_masks(groups, _block_masks(hash_bits, radius), radius, signature, tile_rows)
@@ -364,9 +378,8 @@ def simhash_query(
     method: str = "auto",
 ) -> DataFrame:
     """``(probe_id, id)`` of indexed signatures within ``radius`` of a probe."""
-    check_hash_bits(hash_bits)
     wanted = probes.where(F.col(signature).isNotNull())
-    if method == "flips" or (method == "auto" and radius <= FLIP_RADIUS):
+    if _by_flips(method, "blocks", hash_bits, radius):
         near = simhash_buckets(wanted, radius, hash_bits, signature, probe_id)
         return near.join(index.select(id_col, F.col(signature).alias("bucket")), "bucket").select(probe_id, id_col)
     masks = _block_masks(hash_bits, radius)
@@ -376,13 +389,18 @@ def simhash_query(
 def _masked_query(
     probes: DataFrame, index: DataFrame, masks: list[int], radius: int, signature: str, probe_id: str, id_col: str
 ) -> DataFrame:
-    left = _masked_entries(probes.select(probe_id, F.col(signature).alias("probe_sig")), masks, "probe_sig")
-    right = _masked_entries(index.select(id_col, F.col(signature).alias("index_sig")), masks, "index_sig")
+    """Probe on parts of the signature; only distinct signatures are compared."""
+    asked = probes.select(probe_id, F.col(signature).alias("probe_sig"))
+    stock = index.select(id_col, F.col(signature).alias("index_sig"))
+    left = _masked_entries(asked.select("probe_sig").distinct(), masks, "probe_sig")
+    right = _masked_entries(stock.select("index_sig").distinct(), masks, "index_sig")
     difference = F.col("probe_sig").bitwiseXOR(F.col("index_sig"))
-    joined = left.join(right, ["part", "key"])
-    return joined.where(
-        (F.bit_count(difference) <= radius) & _first_shared(F.col("part"), difference, masks)
-    ).select(probe_id, id_col)
+    matched = (
+        left.join(right, ["part", "key"])
+        .where((F.bit_count(difference) <= radius) & _first_shared(F.col("part"), difference, masks))
+        .select("probe_sig", "index_sig")
+    )
+    return matched.join(asked, "probe_sig").join(stock, "index_sig").select(probe_id, id_col)
 
 
 # --- bit-sampling index ---------------------------------------------------------
@@ -431,7 +449,7 @@ def bitsampling_candidate_pairs(
     if radius is None:
         buckets = bitsampling_buckets(groups, num_tables, bits_per_table, hash_bits, seed, signature)
         return _bucket_links(buckets, "tbl", "bitsampling", hot_bucket_size).unionByName(copies)
-    if method == "flips" or (method == "auto" and radius <= FLIP_RADIUS):
+    if _by_flips(method, "tables", hash_bits, radius):
         pairs = _pairs_by_flips(
             groups, radius, hash_bits, signature,
             lambda left, right: _any_table_equal(left(signature).bitwiseXOR(right(signature)), masks),
@@ -452,11 +470,20 @@ def bitsampling_query(
     signature: str = "signature",
     probe_id: str = "probe_id",
     id_col: str = "doc_id",
+    method: str = "auto",
 ) -> DataFrame:
     """``(probe_id, id)`` of indexed signatures in a probe's table buckets and ``radius``."""
     masks = [bits_mask(t) for t in bit_tables(hash_bits, num_tables, bits_per_table, seed)]
-    within = hash_bits if radius is None else radius
     wanted = probes.where(F.col(signature).isNotNull())
+    if radius is not None and _by_flips(method, "tables", hash_bits, radius):
+        near = wanted.select(
+            probe_id,
+            F.col(signature).alias("probe_sig"),
+            F.explode(_flipped(F.col(signature), hash_bits, radius, with_self=True)).alias("index_sig"),
+        ).where(_any_table_equal(F.col("probe_sig").bitwiseXOR(F.col("index_sig")), masks))
+        stock = index.select(id_col, F.col(signature).alias("index_sig"))
+        return near.join(stock, "index_sig").select(probe_id, id_col)
+    within = hash_bits if radius is None else radius
     return _masked_query(wanted, index, masks, within, signature, probe_id, id_col)
 
 

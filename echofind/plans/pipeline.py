@@ -199,17 +199,29 @@ def candidate_links(signatures: DataFrame, options: Options) -> DataFrame:
 
 
 def score_links(
-    links: DataFrame, groups: DataFrame, cleaned: DataFrame, similarity: Similarity = cosine_similarity
+    links: DataFrame,
+    groups: DataFrame,
+    cleaned: DataFrame,
+    similarity: Similarity = cosine_similarity,
+    expand: bool = True,
 ) -> DataFrame:
-    """Every candidate pair of distinct texts, weighted by copies and scored."""
-    weighed = weigh_pairs(lsh.expand_pairs(links), groups)
-    return score_pairs(weighed, cleaned, similarity)
+    """Candidate pairs of distinct texts, weighted by copies and scored.
+
+    By default every pair is scored, as the mean over all pairs demands. With
+    ``expand=False`` only the rows of the link table are, whose number stays
+    linear in the corpus however many different texts share a bucket.
+    """
+    pairs = lsh.expand_pairs(links) if expand else links.select("id1", "id2").distinct()
+    return score_pairs(weigh_pairs(pairs, groups), cleaned, similarity)
 
 
 def find_near_duplicates(
-    corpus: DataFrame, options: Options | None = None, similarity: Similarity = cosine_similarity
+    corpus: DataFrame,
+    options: Options | None = None,
+    similarity: Similarity = cosine_similarity,
+    expand: bool = True,
 ) -> NearDuplicates:
-    """The whole pipeline over ``(doc_id, text)``.
+    """The whole pipeline over ``(doc_id, text)``; ``expand`` as in ``score_links``.
 
     Signatures and groups are stored before the index and the scores read
     them; texts stay where they are and are joined only to the pairs found.
@@ -219,7 +231,7 @@ def find_near_duplicates(
     signatures = stored(compute_signatures(cleaned, options))
     groups = stored(text_groups(signatures, options))
     links = stored(candidate_links(groups, options))
-    return NearDuplicates(cleaned, signatures, groups, links, score_links(links, groups, cleaned, similarity))
+    return NearDuplicates(cleaned, signatures, groups, links, score_links(links, groups, cleaned, similarity, expand))
 
 
 def run_pipeline(

@@ -96,7 +96,7 @@ def test_minhash_query(minhashes, spark):
 
 
 @pytest.mark.parametrize(
-    "radius,method", [(0, "flips"), (1, "flips"), (3, "flips"), (0, "blocks"), (1, "blocks"), (3, "blocks"), (5, "auto")]
+    "radius,method", [(0, "flips"), (1, "flips"), (3, "flips"), (0, "blocks"), (1, "blocks"), (3, "blocks"), (5, "blocks"), (4, "auto")]
 )
 def test_simhash_pairs_equal_brute_force(simhashes, radius, method):
     rows, frame = simhashes
@@ -135,7 +135,7 @@ def share_table(tables):
     return lambda x, y: any(all((x >> i & 1) == (y >> i & 1) for i in t) for t in tables)
 
 
-@pytest.mark.parametrize("radius,method", [(1, "flips"), (2, "flips"), (2, "tables"), (4, "auto"), (None, "auto")])
+@pytest.mark.parametrize("radius,method", [(1, "flips"), (2, "flips"), (2, "tables"), (4, "tables"), (3, "auto"), (None, "auto")])
 def test_bitsampling_pairs_equal_brute_force(simhashes, radius, method):
     rows, frame = simhashes
     tables = hashing.bit_tables(24, 3, 8, 42)
@@ -151,8 +151,8 @@ def test_bitsampling_query_and_buckets(simhashes, spark):
     shared = share_table(tables)
     probes = {1: rows[0] ^ 1, 2: 12345}
     asked = spark.createDataFrame(list(probes.items()), "probe_id bigint, signature bigint")
-    for radius in (2, None):
-        found = lsh.bitsampling_query(asked, frame, radius, 3, 8, 24).collect()
+    for radius, method in ((2, "flips"), (2, "tables"), (None, "auto")):
+        found = lsh.bitsampling_query(asked, frame, radius, 3, 8, 24, method=method).collect()
         limit = 24 if radius is None else radius
         expected = {(p, d) for p, x in probes.items() for d, y in rows.items() if shared(x, y) and distance(x, y) <= limit}
         assert len(found) == len(expected) and {tuple(r) for r in found} == expected
@@ -224,8 +224,8 @@ def test_no_cartesian_product(minhashes, simhashes):
     plans = [
         lsh.minhash_candidate_pairs(minhashes[1], 3, 2),
         lsh.simhash_candidate_pairs(simhashes[1], 1, 24),
-        lsh.simhash_candidate_pairs(simhashes[1], 4, 24),
-        lsh.bitsampling_candidate_pairs(simhashes[1], 4, 3, 8, 24),
+        lsh.simhash_candidate_pairs(simhashes[1], 4, 24, method="blocks"),
+        lsh.bitsampling_candidate_pairs(simhashes[1], 4, 3, 8, 24, method="tables"),
         lsh.expand_pairs(lsh.minhash_candidate_pairs(minhashes[1], 3, 2)),
     ]
     for frame in plans:
