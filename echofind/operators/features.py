@@ -15,6 +15,7 @@ from echofind.functions.features import (
     token_set,
     vector_tokens,
 )
+from echofind.operators.joins import join_lookup
 
 FEATURE_METHODS = ("ngram", "token", "frequency", "vectorize")
 
@@ -51,7 +52,7 @@ def tfidf_token_weights(docs: DataFrame, text: Column | str = "text", id_col: st
     """
     counts = _term_counts(docs, text, id_col)
     idf = _with_idf(_document_frequency(docs, text, id_col), docs)
-    scored = counts.join(idf, "token").select(id_col, "token", (F.col("tf") * F.col("idf")).alias("score"))
+    scored = join_lookup(counts, idf, ["token"]).select(id_col, "token", (F.col("tf") * F.col("idf")).alias("score"))
     norm = F.sqrt(F.sum(F.col("score") * F.col("score")).over(W.partitionBy(id_col)))
     return (
         scored.select("token", (F.col("score") / norm).alias("unit"))

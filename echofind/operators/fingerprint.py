@@ -21,6 +21,7 @@ from echofind.functions.hashing import (
     sample_bit_indices,
 )
 from echofind.functions.text import as_column
+from echofind.operators.joins import join_lookup
 
 WEIGHT_UNIT = 1_000_000
 
@@ -147,7 +148,7 @@ def simhash_weighted(
         F.col("token").alias("feature"),
         F.round(F.col("weight") * F.lit(float(WEIGHT_UNIT))).cast("bigint").alias("units"),
     )
-    weighted = _exploded(docs, features, keys).join(units, "feature", "left")
+    weighted = join_lookup(_exploded(docs, features, keys), units, ["feature"], "left")
     hashed = weighted.select(
         *keys,
         feature_hash("feature", hash_bits, hash_method).alias("h"),

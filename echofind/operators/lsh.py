@@ -33,6 +33,7 @@ from echofind.functions.hashing import (
     hamming_distance,
     minhash_similarity,
 )
+from echofind.operators.joins import join_lookup
 from echofind.sources.store import stored
 
 HOT_BUCKET_SIZE = 1000
@@ -73,7 +74,7 @@ def _copy_links(
     """A row from each group's smallest id to every other member."""
     repeated = groups.where("n_copies > 1").select(*on, F.col("doc_id").alias("id1"))
     members = signatures.select(*on, F.col(id_col).alias("id2"))
-    return _links(members.join(repeated, list(on)).where("id2 <> id1"), "copy", source)
+    return _links(join_lookup(members, repeated, list(on)).where("id2 <> id1"), "copy", source)
 
 
 # --- bucket joins ---------------------------------------------------------------
@@ -95,7 +96,7 @@ def tiled_self_join(
     """
     sizes = entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     sized = (
-        entries.join(sizes, keys)
+        join_lookup(entries, sizes, keys)
         .withColumn("_tiles", F.ceil(F.col("_n") / F.lit(float(tile_rows))).cast("int"))
         .withColumn("_tile", F.pmod(F.xxhash64(id_col), F.col("_tiles").cast("bigint")).cast("int"))
         .drop("_n")
@@ -127,11 +128,8 @@ def _bucket_links(entries: DataFrame, band: str, source: str, hot_bucket_size: i
         .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("head"))
         .where("n > 1")
     )
-    shared = entries.join(sizes, keys)
-    # The explicit repartitioning frees the size join from keeping its layout,
-    # so that adaptive execution may split a hot bucket there; what is moved
-    # again is only the entries of usual buckets with more than one member.
-    usual = shared.where(F.col("n") <= hot_bucket_size).select(*keys, "doc_id").repartition(*keys)
+    shared = join_lookup(entries, sizes, keys)
+    usual = shared.where(F.col("n") <= hot_bucket_size).select(*keys, "doc_id")
     left = usual.select(*keys, F.col("doc_id").alias("id1"))
     right = usual.select(*keys, F.col("doc_id").alias("id2"))
     pairs = left.join(right, keys).where("id1 < id2").select("id1", "id2").distinct()
@@ -501,10 +499,10 @@ def _sides(pairs: DataFrame, signatures: DataFrame, columns: list[str]) -> DataF
     """Attach both documents' signature columns as ``x_1`` and ``x_2``."""
     joined = pairs
     for side in ("1", "2"):
-        joined = joined.join(
-            signatures.select(F.col("doc_id").alias(f"id{side}"), *[F.col(c).alias(f"{c}_{side}") for c in columns]),
-            f"id{side}",
+        values = signatures.select(
+            F.col("doc_id").alias(f"id{side}"), *[F.col(c).alias(f"{c}_{side}") for c in columns]
         )
+        joined = join_lookup(joined, values, [f"id{side}"])
     return joined
 
 

@@ -8,18 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from echofind.functions.similarity import Measure, cosine_similarity
+from echofind.operators.joins import join_lookup
 
 Similarity = Callable[[str, str], Column]
 
 
 def attach(pairs: DataFrame, docs: DataFrame, columns: list[str], id_col: str = "doc_id") -> DataFrame:
-    """Add ``<column>1`` and ``<column>2`` of both documents to ``(id1, id2, ...)``."""
+    """Add ``<column>1`` and ``<column>2`` of both documents to ``(id1, id2, ...)``.
+
+    ``docs`` has one row per id. A document that occurs in very many pairs is
+    a hot key of the join, which may be split.
+    """
     joined = pairs
     for side in ("1", "2"):
-        joined = joined.join(
-            docs.select(F.col(id_col).alias(f"id{side}"), *[F.col(c).alias(f"{c}{side}") for c in columns]),
-            f"id{side}",
-        )
+        values = docs.select(F.col(id_col).alias(f"id{side}"), *[F.col(c).alias(f"{c}{side}") for c in columns])
+        joined = join_lookup(joined, values, [f"id{side}"])
     return joined
 
 
