@@ -34,6 +34,7 @@ from echofind.functions.hashing import (
     minhash_similarity,
 )
 from echofind.operators.joins import join_lookup
+from echofind.operators.pairs import attach
 from echofind.sources.store import stored
 
 HOT_BUCKET_SIZE = 1000
@@ -495,17 +496,6 @@ def _weighted_score(
     return (m >= minhash_threshold) & (score >= weighted_threshold)
 
 
-def _sides(pairs: DataFrame, signatures: DataFrame, columns: list[str]) -> DataFrame:
-    """Attach both documents' signature columns as ``x_1`` and ``x_2``."""
-    joined = pairs
-    for side in ("1", "2"):
-        values = signatures.select(
-            F.col("doc_id").alias(f"id{side}"), *[F.col(c).alias(f"{c}_{side}") for c in columns]
-        )
-        joined = join_lookup(joined, values, [f"id{side}"])
-    return joined
-
-
 def hybrid_pairs(
     signatures: DataFrame,
     strategy: str = "union",
@@ -544,9 +534,9 @@ def hybrid_pairs(
     candidates = by_minhash(groups, "doc_id")
     if strategy == "weighted":
         candidates = candidates.unionByName(by_simhash(groups, "doc_id"))
-        judged = _sides(expand_pairs(candidates), groups, ["minhash", "simhash"])
-        m = minhash_similarity("minhash_1", "minhash_2")
-        s = F.lit(1.0) - hamming_distance("simhash_1", "simhash_2") / F.lit(float(hash_bits))
+        judged = attach(expand_pairs(candidates), groups, ["minhash", "simhash"])
+        m = minhash_similarity("minhash1", "minhash2")
+        s = F.lit(1.0) - hamming_distance("simhash1", "simhash2") / F.lit(float(hash_bits))
         kept = judged.where(_weighted_score(m, s, weights, weighted_score_threshold, minhash_score_threshold))
         # Documents that agree in both signatures score m = s = 1.
         best = F.lit(1.0)
@@ -554,8 +544,8 @@ def hybrid_pairs(
     else:
         # The SimHash relation is exactly "distance <= radius", so intersecting
         # with it and filtering the MinHash candidates by it are the same set.
-        judged = _sides(expand_pairs(candidates), groups, ["simhash"])
-        kept = judged.where(hamming_distance("simhash_1", "simhash_2") <= radius)
+        judged = attach(expand_pairs(candidates), groups, ["simhash"])
+        kept = judged.where(hamming_distance("simhash1", "simhash2") <= radius)
     return _links(kept, "pair", "hybrid").unionByName(copies)
 
 

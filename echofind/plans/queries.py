@@ -52,7 +52,13 @@ def _probes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _joined(tokens: Column | str, separator: str = " ") -> Column:
-    return F.array_join(tokens, separator)
+    """The elements as one string; a missing array is written as an empty string."""
+    return F.coalesce(F.array_join(tokens, separator), F.lit(""))
+
+
+def _listed(links: DataFrame) -> DataFrame:
+    """A link table with -1 in place of a missing band."""
+    return links.withColumn("band", F.coalesce("band", F.lit(-1)))
 
 
 def _grams() -> Column:
@@ -258,7 +264,7 @@ def minhash_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def minhash_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _links(spark, sf_dir)
+    return _listed(_links(spark, sf_dir))
 
 
 def minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,7 +277,7 @@ def simhash_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def simhash_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lsh.simhash_candidate_pairs(stored(_simhash(_cleaned(spark, sf_dir))), RADIUS, HASH_BITS)
+    return _listed(lsh.simhash_candidate_pairs(stored(_simhash(_cleaned(spark, sf_dir))), RADIUS, HASH_BITS))
 
 
 def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,8 +292,9 @@ def bitsampling_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bitsampling_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lsh.bitsampling_candidate_pairs(
-        stored(_simhash(_cleaned(spark, sf_dir))), TABLE_RADIUS, NUM_TABLES, BITS_PER_TABLE, HASH_BITS, SEED
+    signatures = stored(_simhash(_cleaned(spark, sf_dir)))
+    return _listed(
+        lsh.bitsampling_candidate_pairs(signatures, TABLE_RADIUS, NUM_TABLES, BITS_PER_TABLE, HASH_BITS, SEED)
     )
 
 
@@ -299,7 +306,7 @@ def bitsampling_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _hybrid_merge(strategy: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return lsh.hybrid_pairs(
+        links = lsh.hybrid_pairs(
             stored(_hybrid(_cleaned(spark, sf_dir))),
             strategy,
             NUM_BANDS,
@@ -310,6 +317,7 @@ def _hybrid_merge(strategy: str) -> Query:
             WEIGHTED_SCORE,
             MINHASH_SCORE,
         )
+        return _listed(links)
 
     return query
 

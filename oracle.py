@@ -98,7 +98,7 @@ def links(members: str, pairs: str, source: str) -> str:
     """Link rows from all pairs: a star per group of copies, the rest between smallest ids."""
     return f"""
       SELECT p.id1, p.id2, CASE WHEN a.head = b.head THEN 'copy' ELSE 'pair' END AS link, '{source}' AS source,
-             NULL::int AS band
+             -1 AS band
       FROM {pairs} p JOIN {members} a ON a.doc_id = p.id1 JOIN {members} b ON b.doc_id = p.id2
       WHERE p.id1 = a.head AND (p.id2 = b.head OR a.head = b.head)"""
 
@@ -310,7 +310,7 @@ def oracle_sql() -> dict[str, str]:
             "c", "gset", "tset", "tf",
         ),
         "minhash_signature": with_ctes(
-            "SELECT c.doc_id, array_to_string(s, ',') AS signature FROM c LEFT JOIN mh USING (doc_id)", "c", "mh"
+            "SELECT c.doc_id, coalesce(array_to_string(s, ','), '') AS signature FROM c LEFT JOIN mh USING (doc_id)", "c", "mh"
         ),
         "minhash_similarity": with_ctes(
             f"""SELECT id1, id2, len(list_filter(list_zip(a.s, b.s), lambda z: z[1] = z[2])) / {q.NUM_HASHES}::double AS similarity
@@ -339,7 +339,7 @@ def oracle_sql() -> dict[str, str]:
             FROM ml JOIN samp a ON a.doc_id = id1 JOIN samp b ON b.doc_id = id2""", "ml", "samp"
         ),
         "hybrid_signature": with_ctes(
-            "SELECT c.doc_id, array_to_string(mh.s, ',') AS minhash, shg.s AS simhash FROM c LEFT JOIN mh USING (doc_id) JOIN shg USING (doc_id)",
+            "SELECT c.doc_id, coalesce(array_to_string(mh.s, ','), '') AS minhash, shg.s AS simhash FROM c LEFT JOIN mh USING (doc_id) JOIN shg USING (doc_id)",
             "c", "mh", "shg",
         ),
         "minhash_bands": with_ctes("SELECT doc_id, band, array_to_string(key, ',') AS key FROM band", "band"),
@@ -403,7 +403,7 @@ def oracle_sql() -> dict[str, str]:
         "read_corpus": "SELECT doc_id, text FROM documents",
         "write_preprocessed": with_ctes("SELECT doc_id, text FROM c", "c"),
         "write_signatures": with_ctes(
-            "SELECT c.doc_id, array_to_string(s, ',') AS signature FROM c LEFT JOIN mh USING (doc_id)", "c", "mh"
+            "SELECT c.doc_id, coalesce(array_to_string(s, ','), '') AS signature FROM c LEFT JOIN mh USING (doc_id)", "c", "mh"
         ),
         "write_signatures_csv": with_ctes(
             f"SELECT {binary('s', q.HASH_BITS)} AS text, count(*) AS n FROM sh GROUP BY ALL", "sh"

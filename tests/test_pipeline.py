@@ -183,6 +183,15 @@ def test_collapsed_run_equals_run_over_all_documents(spark, documents, options):
     assert rate["near_duplicate_rate"] == pytest.approx(plain["near_duplicate_rate"])
 
 
+def test_scoring_links_only(spark, documents):
+    options = Options(hot_bucket_size=2)
+    full = find_near_duplicates(documents, options).scored
+    listed = find_near_duplicates(documents, options, expand=False).scored
+    assert pair_set(listed) <= pair_set(full)
+    rows = {(r["id1"], r["id2"]): r["similarity"] for r in full.collect()}
+    assert all(rows[r["id1"], r["id2"]] == r["similarity"] for r in listed.collect())
+
+
 def test_null_and_short_texts(spark):
     frame = spark.createDataFrame([(1, None), (2, ""), (3, "two words"), (4, "two words")], "doc_id bigint, text string")
     assert find_near_duplicates(frame).rate().first()["candidate_pairs"] == 0
