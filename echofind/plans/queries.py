@@ -368,7 +368,9 @@ def _collapsed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def exact_similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, sets = _collapsed(spark, sf_dir)
+    cleaned = _cleaned(spark, sf_dir)
+    groups = lsh.signature_groups(cleaned.select("doc_id", F.sha2("text", 256).alias("digest")), ("digest",))
+    sets = stored(_gram_sets(cleaned.join(groups, "doc_id", "left_semi")))
     found = evaluate.exact_similar_pairs(sets, threshold=TRUTH_THRESHOLD)
     return found.select("id1", "id2", F.round("similarity", 6).alias("similarity"))
 
