@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
 from echofind.functions import features, text
@@ -81,6 +82,10 @@ def test_stopword_lists():
     assert "zzz" in extended and "the" in extended
 
 
+def test_default_stopwords_are_sparks(spark):
+    assert text.default_stopwords() == StopWordsRemover.loadDefaultStopWords("english")
+
+
 def test_padding(edge):
     actual = collected(edge.select("doc_id", text.pad_short_text("text").alias("p")), "p")
     assert actual[0] == " This is A Filling text"
