@@ -5,18 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echofind.llm import token_count, toxicity
+from echofind.llm import credentials, pii, token_count, toxicity
 from echofind.llm.common import table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("text")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.digest(credentials.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("text")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_pii, op3_token_counts, op9_secrets, op10_toxicity)}
