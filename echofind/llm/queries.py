@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echofind.llm import credentials, pii, token_count, toxicity
+from echofind.llm import credentials, decontaminate, packing, pii, token_count, toxicity
 from echofind.llm.common import table
 
 
@@ -13,10 +13,20 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("text")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sized = docs.select("doc_id", packing.word_length(F.col("text")).alias("words"))
+    return packing.pack(sized, F.col("words")).drop("words")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.digest(credentials.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("text")
 
@@ -27,4 +37,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op3_token_counts, op9_secrets, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_decontamination, op3_token_counts, op8_packing, op9_secrets, op10_toxicity)}
