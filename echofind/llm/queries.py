@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echofind.llm import credentials, decontaminate, jaccard_join, packing, pii, token_count, toxicity
+from echofind.llm import chunk_dedup, credentials, decontaminate, jaccard_join, nearest, packing, pii, suffix_dedup, token_count, toxicity
 from echofind.llm.common import table
 
 
@@ -25,6 +25,18 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     sized = docs.select("doc_id", packing.word_length(F.col("text")).alias("words"))
@@ -41,4 +53,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_decontamination, op3_token_counts, op4_jaccard_join, op8_packing, op9_secrets, op10_toxicity)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pii, op2_decontamination, op3_token_counts, op4_jaccard_join, op5_chunk_dedup,
+        op6_nearest, op7_suffix_dedup, op8_packing, op9_secrets, op10_toxicity,
+    )
+}
