@@ -1,25 +1,23 @@
 """LSH buckets, index probes and candidate pairs.
 
-Candidate pairs come as a *link table* that keeps every candidate without
-writing out all pairs of a group:
+Candidate pairs come as a *link table* that stands for every candidate:
 
 ``id1, id2``  two documents, ``id1 < id2``
-``link``      ``copy``   both have the same signature, ``id1`` is the group's smallest id;
-              ``pair``   two different signatures, each shown by its smallest id;
-              ``bucket`` members of a bucket of more than ``hot_bucket_size`` signatures,
-              ``id1`` is the bucket's smallest id
+``link``      ``copy``  both have the same signature, ``id1`` is the group's smallest id;
+              ``pair``  two different signatures, each shown by its smallest id
 ``source``    the relation that produced the row: ``minhash``, ``simhash``, ...
-``band``      band or table number of a ``bucket`` row, else null
 
-A group of n equal signatures takes n-1 rows instead of n(n-1)/2, and so does
-a hot bucket. ``expand_pairs`` turns a link table into the plain pair set.
+A group of n equal signatures takes n-1 rows instead of n(n-1)/2; different
+signatures that share a bucket are all paired, in tiles, whatever the
+size of the bucket. ``weighted_pairs`` counts the document pairs behind each
+row and ``expand_pairs`` writes them out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
-from math import comb
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,14 +32,8 @@ from echofind.functions.hashing import (
     minhash_similarity,
 )
 from echofind.operators.joins import join_lookup
-from echofind.operators.pairs import attach
-from echofind.sources.store import stored
 
-HOT_BUCKET_SIZE = 1000
 TILE_ROWS = 1000
-# Bit flips are used up to this many masks per signature: their cost is linear
-# and does not depend on how the signatures cluster.
-MAX_FLIPS = 15_000
 MERGE_STRATEGIES = ("union", "intersection", "two-stage", "weighted")
 
 Match = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
@@ -59,14 +51,8 @@ def signature_groups(signatures: DataFrame, on: tuple[str, ...] = ("signature",)
     return signatures.groupBy(*on).agg(F.min(id_col).alias("doc_id"), F.count(F.lit(1)).alias("n_copies"))
 
 
-def _links(rows: DataFrame, link: str, source: str, band: str | None = None) -> DataFrame:
-    return rows.select(
-        "id1",
-        "id2",
-        F.lit(link).alias("link"),
-        F.lit(source).alias("source"),
-        (F.col(band) if band else F.lit(None)).cast("int").alias("band"),
-    )
+def _links(rows: DataFrame, link: str, source: str) -> DataFrame:
+    return rows.select("id1", "id2", F.lit(link).alias("link"), F.lit(source).alias("source"))
 
 
 def _copy_links(
@@ -116,28 +102,22 @@ def tiled_self_join(
     return left.join(right, condition).select(F.least(l_id, r_id).alias("id1"), F.greatest(l_id, r_id).alias("id2"))
 
 
-def _bucket_links(entries: DataFrame, band: str, source: str, hot_bucket_size: int) -> DataFrame:
-    """Links between entries ``(doc_id, band, key)`` that share a bucket.
+def weighted_pairs(links: DataFrame) -> DataFrame:
+    """``(id1, id2, n_pairs)``: the document pairs behind the link table of one relation.
 
-    Buckets of one entry are dropped by the size join before any pair is
-    built. Buckets up to ``hot_bucket_size`` give their pairs, larger ones a
-    star from their smallest id, so the output stays linear in the entries.
+    Each document stands for all that share its signature: a row of two ids for
+    the n1 * n2 pairs between their groups, a row ``(id, id)`` for the
+    n(n-1)/2 pairs of copies. Linear in the links.
     """
-    keys = [band, "key"]
-    sizes = (
-        entries.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("head"))
-        .where("n > 1")
-    )
-    shared = join_lookup(entries, sizes, keys)
-    usual = shared.where(F.col("n") <= hot_bucket_size).select(*keys, "doc_id")
-    left = usual.select(*keys, F.col("doc_id").alias("id1"))
-    right = usual.select(*keys, F.col("doc_id").alias("id2"))
-    pairs = left.join(right, keys).where("id1 < id2").select("id1", "id2").distinct()
-    hot = shared.where((F.col("n") > hot_bucket_size) & (F.col("doc_id") != F.col("head"))).select(
-        F.col("head").alias("id1"), F.col("doc_id").alias("id2"), band
-    )
-    return _links(pairs, "pair", source).unionByName(_links(hot, "bucket", source, band))
+    sizes = links.where("link = 'copy'").groupBy(F.col("id1").alias("head")).agg((F.count(F.lit(1)) + 1).alias("n"))
+    between = links.where("link = 'pair'").select("id1", "id2")
+    for side in ("1", "2"):
+        counts = sizes.select(F.col("head").alias(f"id{side}"), F.col("n").alias(f"n{side}"))
+        between = join_lookup(between, counts, [f"id{side}"], "left")
+    one = F.lit(1).cast("bigint")
+    within = sizes.select(F.col("head").alias("id1"), F.col("head").alias("id2"), F.expr("n * (n - 1) div 2").alias("n_pairs"))
+    counted = (F.coalesce("n1", one) * F.coalesce("n2", one)).alias("n_pairs")
+    return between.select("id1", "id2", counted).unionByName(within)
 
 
 def expand_pairs(links: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -145,23 +125,14 @@ def expand_pairs(links: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:
 
     The result is as large as the definition makes it: quadratic in a group of
     copies. Use it where every pair has to be looked at, on collapsed texts.
+    The table is read once for each kind of row and side: store it first.
     """
-    # The table is looked at once per kind of row and side, so it is stored
-    # first: the plan then has one scan per use instead of the whole index.
-    links = stored(links.select("source", "link", "band", "id1", "id2"))
     members = (
         links.where("link = 'copy'")
         .select("source", F.col("id1").alias("head"), F.explode(F.array("id1", "id2")).alias("doc_id"))
         .distinct()
     )
-    bucket_entries = (
-        links.where("link = 'bucket'")
-        .select("source", "band", F.col("id1").alias("head"), F.explode(F.array("id1", "id2")).alias("doc_id"))
-        .distinct()
-    )
-    in_buckets = _pairs_by_source(bucket_entries, ["source", "band", "head"], tile_rows)
-    between = links.where("link = 'pair'").select("source", "id1", "id2").unionByName(in_buckets)
-
+    between = links.where("link = 'pair'").select("source", "id1", "id2")
     first = members.select("source", F.col("head").alias("id1"), F.col("doc_id").alias("member1"))
     second = members.select("source", F.col("head").alias("id2"), F.col("doc_id").alias("member2"))
     spread = (
@@ -174,15 +145,6 @@ def expand_pairs(links: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:
     return spread.unionByName(within).distinct()
 
 
-def _pairs_by_source(entries: DataFrame, keys: list[str], tile_rows: int) -> DataFrame:
-    """Tiled pairs that keep the ``source`` of their bucket."""
-    tagged = entries.withColumn("node", F.struct("source", "doc_id"))
-    pairs = tiled_self_join(tagged, keys, id_col="node", tile_rows=tile_rows)
-    return pairs.select(
-        F.col("id1.source").alias("source"), F.col("id1.doc_id").alias("id1"), F.col("id2.doc_id").alias("id2")
-    )
-
-
 # --- MinHash index --------------------------------------------------------------
 
 
@@ -210,21 +172,27 @@ def minhash_bands(
     return signatures.where(F.col(signature).isNotNull()).select(id_col, F.posexplode(checked).alias("band", "key"))
 
 
+def _band_pairs(groups: DataFrame, num_bands: int, rows_per_band: int, signature: str, match: Match | None, tile_rows: int) -> DataFrame:
+    """Pairs of ``groups`` that share a band bucket and satisfy ``match`` (over the columns of ``groups``)."""
+    bands = minhash_bands(groups, num_bands, rows_per_band, signature)
+    if match is not None:
+        bands = bands.join(groups, "doc_id")
+    return tiled_self_join(bands, ["band", "key"], match, tile_rows=tile_rows).distinct()
+
+
 def minhash_candidate_pairs(
     signatures: DataFrame,
     num_bands: int = 10,
     rows_per_band: int = 5,
     signature: str = "signature",
     id_col: str = "doc_id",
-    hot_bucket_size: int = HOT_BUCKET_SIZE,
+    tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """Link table of the documents that share at least one band bucket."""
     present = signatures.where(F.col(signature).isNotNull())
     groups = signature_groups(present, (signature,), id_col)
-    buckets = minhash_bands(groups, num_bands, rows_per_band, signature)
-    return _bucket_links(buckets, "band", "minhash", hot_bucket_size).unionByName(
-        _copy_links(present, groups, "minhash", (signature,), id_col)
-    )
+    pairs = _band_pairs(groups, num_bands, rows_per_band, signature, None, tile_rows)
+    return _links(pairs, "pair", "minhash").unionByName(_copy_links(present, groups, "minhash", (signature,), id_col))
 
 
 def minhash_query(
@@ -250,16 +218,6 @@ def minhash_query(
 # --- SimHash index --------------------------------------------------------------
 
 
-def _by_flips(method: str, other: str, hash_bits: int, radius: int) -> bool:
-    """Whether to flip bits rather than join on parts of the signature."""
-    check_hash_bits(hash_bits)
-    if method not in ("auto", "flips", other):
-        raise ValueError(f"method must be auto, flips or {other}")
-    if method == "auto":
-        return sum(comb(hash_bits, k) for k in range(1, radius + 1)) <= MAX_FLIPS
-    return method == "flips"
-
-
 def _flipped(signature: Column, hash_bits: int, radius: int, with_self: bool) -> Column:
     masks = ([0] if with_self else []) + flip_masks(hash_bits, radius)
     if not masks:
@@ -281,11 +239,18 @@ def simhash_buckets(
     return signatures.where(F.col(signature).isNotNull()).select(id_col, F.explode(flipped).alias("bucket"))
 
 
-def _block_masks(hash_bits: int, radius: int) -> list[int]:
-    """radius + 1 contiguous blocks: within ``radius`` differing bits one block is equal."""
-    blocks = min(radius + 1, hash_bits)
+def block_masks(hash_bits: int, radius: int) -> list[int]:
+    """Masks of which one is free of differences whenever at most ``radius`` bits differ.
+
+    The bits are cut into ``radius + 3`` blocks (fewer if there are fewer bits) and every choice of
+    all but ``radius`` blocks is a mask, so a mask keeps about 3 / (radius + 3) of the bits.
+    """
+    check_hash_bits(hash_bits)
+    blocks = min(radius + 3, hash_bits)
     edges = [hash_bits * k // blocks for k in range(blocks + 1)]
-    return [bits_mask(list(range(low, high))) for low, high in zip(edges, edges[1:])]
+    parts = [bits_mask(list(range(low, high))) for low, high in zip(edges, edges[1:])]
+    kept = max(0, blocks - radius)
+    return [reduce(lambda x, y: x | y, chosen, 0) for chosen in combinations(parts, kept)]
 
 
 def _masked_entries(rows: DataFrame, masks: list[int], signature: str) -> DataFrame:
@@ -302,39 +267,19 @@ def _first_shared(part: Column, difference: Column, masks: list[int]) -> Column:
     )
 
 
-def _any_table_equal(difference: Column, masks: list[int]) -> Column:
-    zero = F.lit(0).cast("bigint")
-    return reduce(lambda x, y: x | y, [difference.bitwiseAND(F.lit(m).cast("bigint")) == zero for m in masks])
-
-
-def _pairs_by_flips(groups: DataFrame, radius: int, hash_bits: int, signature: str, keep: Match | None) -> DataFrame:
-    """Pairs of distinct signatures within ``radius``, found by bit flips.
-
-    A flip mask joins two signatures in exactly one way, and each signature
-    occurs once on the exact side, so the fan-out is bounded by the number of
-    masks and nothing has to be deduplicated.
-    """
-    near = groups.select(
-        F.col("doc_id").alias("r_id"),
-        F.col(signature).alias("r_sig"),
-        F.explode(_flipped(F.col(signature), hash_bits, radius, with_self=False)).alias("bucket"),
-    )
-    exact = groups.select(F.col("doc_id").alias("l_id"), F.col(signature).alias("bucket"))
-    joined = exact.join(near, "bucket").where(F.col("bucket") < F.col("r_sig"))
-    if keep is not None:
-        joined = joined.where(keep(lambda _: F.col("bucket"), lambda _: F.col("r_sig")))
-    return joined.select(F.least("l_id", "r_id").alias("id1"), F.greatest("l_id", "r_id").alias("id2"))
-
-
 def _pairs_by_masks(
-    groups: DataFrame, masks: list[int], radius: int, signature: str, tile_rows: int
+    groups: DataFrame, masks: list[int], radius: int, signature: str, tile_rows: int, also: Match | None = None
 ) -> DataFrame:
-    """Pairs of distinct signatures equal under a mask and within ``radius``."""
-    entries = _masked_entries(groups.select("doc_id", signature), masks, signature)
+    """Pairs of ``groups`` whose signatures are equal under a mask and within ``radius``.
+
+    A pair is met under its first mask only, and ``also`` is part of the join.
+    """
+    entries = _masked_entries(groups, masks, signature)
 
     def match(left: Callable[[str], Column], right: Callable[[str], Column]) -> Column:
         a, b = left(signature), right(signature)
-        return (hamming_distance(a, b) <= radius) & _first_shared(left("part"), a.bitwiseXOR(b), masks)
+        near = (hamming_distance(a, b) <= radius) & _first_shared(left("part"), a.bitwiseXOR(b), masks)
+        return near if also is None else near & also(left, right)
 
     return tiled_self_join(entries, ["part", "key"], match, tile_rows=tile_rows)
 
@@ -345,25 +290,17 @@ def simhash_candidate_pairs(
     hash_bits: int = 24,
     signature: str = "signature",
     id_col: str = "doc_id",
-    method: str = "auto",
     tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """Link table of the documents within Hamming distance ``radius``.
 
-    ``flips`` probes the flipped neighbours of each distinct signature,
-    ``blocks`` joins on radius + 1 bit blocks and verifies the distance. Both
-    are exact; ``auto`` flips while there are at most ``MAX_FLIPS`` masks.
+    Distinct signatures meet under the masks of ``block_masks``, the distance is
+    verified in the join. Exact for every radius.
     """
-    flips = _by_flips(method, "blocks", hash_bits, radius)
     present = signatures.where(F.col(signature).isNotNull())
     groups = signature_groups(present, (signature,), id_col)
-    if flips:
-        pairs = _pairs_by_flips(groups, radius, hash_bits, signature, None)
-    else:
-        pairs = _pairs_by_masks(groups, _block_masks(hash_bits, radius), radius, signature, tile_rows)
-    return _links(pairs, "pair", "simhash").unionByName(
-        _copy_links(present, groups, "simhash", (signature,), id_col)
-    )
+    pairs = _pairs_by_masks(groups.select("doc_id", signature), block_masks(hash_bits, radius), radius, signature, tile_rows)
+    return _links(pairs, "pair", "simhash").unionByName(_copy_links(present, groups, "simhash", (signature,), id_col))
 
 
 def simhash_query(
@@ -374,15 +311,10 @@ def simhash_query(
     signature: str = "signature",
     probe_id: str = "probe_id",
     id_col: str = "doc_id",
-    method: str = "auto",
 ) -> DataFrame:
     """``(probe_id, id)`` of indexed signatures within ``radius`` of a probe."""
     wanted = probes.where(F.col(signature).isNotNull())
-    if _by_flips(method, "blocks", hash_bits, radius):
-        near = simhash_buckets(wanted, radius, hash_bits, signature, probe_id)
-        return near.join(index.select(id_col, F.col(signature).alias("bucket")), "bucket").select(probe_id, id_col)
-    masks = _block_masks(hash_bits, radius)
-    return _masked_query(wanted, index, masks, radius, signature, probe_id, id_col)
+    return _masked_query(wanted, index, block_masks(hash_bits, radius), radius, signature, probe_id, id_col)
 
 
 def _masked_query(
@@ -429,33 +361,21 @@ def bitsampling_candidate_pairs(
     seed: int | None = 42,
     signature: str = "signature",
     id_col: str = "doc_id",
-    method: str = "auto",
-    hot_bucket_size: int = HOT_BUCKET_SIZE,
     tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """Link table of the documents that share a table bucket and lie within ``radius``.
 
     Sharing a bucket means that the XOR of two signatures is zero under the
-    table's mask. A small radius therefore goes through bit flips, which have
-    no large buckets (``flips``); a larger one joins the buckets in tiles
-    (``tables``). Without a radius every shared bucket counts.
+    table's mask. Without a radius every shared bucket counts.
     """
-    tables = bit_tables(hash_bits, num_tables, bits_per_table, seed)
-    masks = [bits_mask(indices) for indices in tables]
+    masks = [bits_mask(indices) for indices in bit_tables(hash_bits, num_tables, bits_per_table, seed)]
     present = signatures.where(F.col(signature).isNotNull())
     groups = signature_groups(present, (signature,), id_col)
-    copies = _copy_links(present, groups, "bitsampling", (signature,), id_col)
-    if radius is None:
-        buckets = bitsampling_buckets(groups, num_tables, bits_per_table, hash_bits, seed, signature)
-        return _bucket_links(buckets, "tbl", "bitsampling", hot_bucket_size).unionByName(copies)
-    if _by_flips(method, "tables", hash_bits, radius):
-        pairs = _pairs_by_flips(
-            groups, radius, hash_bits, signature,
-            lambda left, right: _any_table_equal(left(signature).bitwiseXOR(right(signature)), masks),
-        )
-    else:
-        pairs = _pairs_by_masks(groups, masks, radius, signature, tile_rows)
-    return _links(pairs, "pair", "bitsampling").unionByName(copies)
+    within = hash_bits if radius is None else radius
+    pairs = _pairs_by_masks(groups.select("doc_id", signature), masks, within, signature, tile_rows)
+    return _links(pairs, "pair", "bitsampling").unionByName(
+        _copy_links(present, groups, "bitsampling", (signature,), id_col)
+    )
 
 
 def bitsampling_query(
@@ -469,19 +389,10 @@ def bitsampling_query(
     signature: str = "signature",
     probe_id: str = "probe_id",
     id_col: str = "doc_id",
-    method: str = "auto",
 ) -> DataFrame:
     """``(probe_id, id)`` of indexed signatures in a probe's table buckets and ``radius``."""
     masks = [bits_mask(t) for t in bit_tables(hash_bits, num_tables, bits_per_table, seed)]
     wanted = probes.where(F.col(signature).isNotNull())
-    if radius is not None and _by_flips(method, "tables", hash_bits, radius):
-        near = wanted.select(
-            probe_id,
-            F.col(signature).alias("probe_sig"),
-            F.explode(_flipped(F.col(signature), hash_bits, radius, with_self=True)).alias("index_sig"),
-        ).where(_any_table_equal(F.col("probe_sig").bitwiseXOR(F.col("index_sig")), masks))
-        stock = index.select(id_col, F.col(signature).alias("index_sig"))
-        return near.join(stock, "index_sig").select(probe_id, id_col)
     within = hash_bits if radius is None else radius
     return _masked_query(wanted, index, masks, within, signature, probe_id, id_col)
 
@@ -507,46 +418,47 @@ def hybrid_pairs(
     weighted_score_threshold: float = 0.65,
     minhash_score_threshold: float = 0.3,
     id_col: str = "doc_id",
-    hot_bucket_size: int = HOT_BUCKET_SIZE,
+    tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """Link table of MinHash and SimHash candidates merged by ``strategy``.
 
-    ``union`` keeps the rows of both relations. The other strategies judge a
-    pair by its two signatures; they first collapse the documents that agree
-    in both, and work on pairs of different signatures.
+    Documents that agree in both signatures are one group. Groups are paired
+    by the buckets of either index, and what a strategy asks of their
+    signatures is part of that join, so a rejected pair never exists.
     """
     if strategy not in MERGE_STRATEGIES:
         raise ValueError(f"Unknown merge strategy {strategy!r}; use one of {MERGE_STRATEGIES}")
-
-    def by_minhash(rows: DataFrame, column: str) -> DataFrame:
-        return minhash_candidate_pairs(rows, num_bands, rows_per_band, "minhash", column, hot_bucket_size)
-
-    def by_simhash(rows: DataFrame, column: str) -> DataFrame:
-        return simhash_candidate_pairs(rows, radius, hash_bits, "simhash", column)
-
-    if strategy == "union":
-        return by_minhash(signatures, id_col).unionByName(by_simhash(signatures, id_col))
-
     on = ("minhash", "simhash")
-    present = signatures.where("minhash is not null and simhash is not null")
-    groups = signature_groups(present, on, id_col)
-    copies = _copy_links(present, groups, "hybrid", on, id_col)
-    candidates = by_minhash(groups, "doc_id")
+    if strategy == "union":
+        present = signatures.where("minhash is not null or simhash is not null")
+    else:
+        present = signatures.where("minhash is not null and simhash is not null")
+    groups = signature_groups(present, on, id_col).select(*on, "doc_id")
+    copies = _copy_links(present, signature_groups(present, on, id_col), "hybrid", on, id_col)
+
+    def near(left: Callable[[str], Column], right: Callable[[str], Column]) -> Column:
+        # The SimHash relation is exactly "distance <= radius", so intersecting with
+        # it and filtering the MinHash candidates by it are the same set.
+        return hamming_distance(left("simhash"), right("simhash")) <= radius
+
+    def scored(left: Callable[[str], Column], right: Callable[[str], Column]) -> Column:
+        m = minhash_similarity(left("minhash"), right("minhash"))
+        s = F.lit(1.0) - hamming_distance(left("simhash"), right("simhash")) / F.lit(float(hash_bits))
+        return _weighted_score(m, s, weights, weighted_score_threshold, minhash_score_threshold)
+
+    if strategy in ("intersection", "two-stage"):
+        pairs = _band_pairs(groups, num_bands, rows_per_band, "minhash", near, tile_rows)
+    else:
+        match = scored if strategy == "weighted" else None
+        pairs = _band_pairs(groups, num_bands, rows_per_band, "minhash", match, tile_rows)
+        hashed = groups.where("simhash is not null")
+        masks = block_masks(hash_bits, radius)
+        pairs = pairs.unionByName(_pairs_by_masks(hashed, masks, radius, "simhash", tile_rows, match)).distinct()
     if strategy == "weighted":
-        candidates = candidates.unionByName(by_simhash(groups, "doc_id"))
-        judged = attach(expand_pairs(candidates), groups, ["minhash", "simhash"])
-        m = minhash_similarity("minhash1", "minhash2")
-        s = F.lit(1.0) - hamming_distance("simhash1", "simhash2") / F.lit(float(hash_bits))
-        kept = judged.where(_weighted_score(m, s, weights, weighted_score_threshold, minhash_score_threshold))
         # Documents that agree in both signatures score m = s = 1.
         best = F.lit(1.0)
         copies = copies.where(_weighted_score(best, best, weights, weighted_score_threshold, minhash_score_threshold))
-    else:
-        # The SimHash relation is exactly "distance <= radius", so intersecting
-        # with it and filtering the MinHash candidates by it are the same set.
-        judged = attach(expand_pairs(candidates), groups, ["simhash"])
-        kept = judged.where(hamming_distance("simhash1", "simhash2") <= radius)
-    return _links(kept, "pair", "hybrid").unionByName(copies)
+    return _links(pairs, "pair", "hybrid").unionByName(copies)
 
 
 def hybrid_query(

@@ -50,7 +50,6 @@ class Options:
     weights: tuple[float, float] = (0.95, 0.05)
     weighted_score_threshold: float = 0.65
     minhash_score_threshold: float = 0.3
-    hot_bucket_size: int = lsh.HOT_BUCKET_SIZE
 
     def __post_init__(self) -> None:
         if self.features not in FEATURE_METHODS:
@@ -123,11 +122,21 @@ def compute_signatures(cleaned: DataFrame, options: Options) -> DataFrame:
     """
     docs = cleaned.withColumn("digest", F.sha2("text", 256))
     shared = {"keep": ("digest",), "hash_method": options.hash_method}
-    sets = token_set("text") if options.features in ("token", "frequency") else ngram_set("text", options.ngram_size)
+    # The weights of ``vectorize`` belong to single words, so words are its features.
+    by_word = options.features in ("token", "frequency", "vectorize")
+    sets = token_set("text") if by_word else ngram_set("text", options.ngram_size)
     if options.fingerprint == "minhash":
         # A minimum ignores repeats, so the lists need no deduplication.
-        listed = words("text") if options.features in ("token", "frequency") else ngrams(words("text"), options.ngram_size)
+        listed = words("text") if by_word else ngrams(words("text"), options.ngram_size)
         return fingerprint.minhash_signature(docs, listed, options.num_hashes, options.seed, **shared)
+    if options.fingerprint == "hybrid" and options.features == "vectorize":
+        weighted = fingerprint.simhash_weighted(
+            docs, tfidf_token_weights(cleaned), sets, options.hash_bits, hash_method=options.hash_method
+        )
+        minima = fingerprint.minhash_signature(docs, words("text"), options.num_hashes, options.seed, **shared)
+        return minima.withColumnRenamed("signature", "minhash").join(
+            weighted.select("doc_id", F.col("signature").alias("simhash")), "doc_id"
+        )
     if options.fingerprint == "hybrid":
         return fingerprint.hybrid_signature(
             docs, sets, options.num_hashes, options.hash_bits, options.seed, **shared
@@ -172,7 +181,6 @@ def candidate_links(signatures: DataFrame, options: Options) -> DataFrame:
             options.weights,
             options.weighted_score_threshold,
             options.minhash_score_threshold,
-            hot_bucket_size=options.hot_bucket_size,
         )
     hybrid = options.fingerprint == "hybrid"
     if method == "minhash":
@@ -181,7 +189,6 @@ def candidate_links(signatures: DataFrame, options: Options) -> DataFrame:
             options.num_bands,
             options.rows_per_band,
             "minhash" if hybrid else "signature",
-            hot_bucket_size=options.hot_bucket_size,
         )
     column = "simhash" if hybrid else "signature"
     if method == "simhash":
@@ -194,34 +201,25 @@ def candidate_links(signatures: DataFrame, options: Options) -> DataFrame:
         options.signature_bits,
         options.seed,
         column,
-        hot_bucket_size=options.hot_bucket_size,
     )
 
 
 def score_links(
-    links: DataFrame,
-    groups: DataFrame,
-    cleaned: DataFrame,
-    similarity: Similarity = cosine_similarity,
-    expand: bool = True,
+    links: DataFrame, groups: DataFrame, cleaned: DataFrame, similarity: Similarity = cosine_similarity
 ) -> DataFrame:
-    """Candidate pairs of distinct texts, weighted by copies and scored.
+    """Every candidate pair of distinct texts, weighted by copies and scored.
 
-    By default every pair is scored, as the mean over all pairs demands. With
-    ``expand=False`` only the rows of the link table are, whose number stays
-    linear in the corpus however many different texts share a bucket.
+    ``links`` and ``groups`` are read several times: store them first.
     """
-    pairs = lsh.expand_pairs(links) if expand else links.select("id1", "id2").distinct()
-    return score_pairs(weigh_pairs(pairs, groups), cleaned, similarity)
+    return score_pairs(weigh_pairs(lsh.expand_pairs(links), groups), cleaned, similarity)
 
 
 def find_near_duplicates(
     corpus: DataFrame,
     options: Options | None = None,
     similarity: Similarity = cosine_similarity,
-    expand: bool = True,
 ) -> NearDuplicates:
-    """The whole pipeline over ``(doc_id, text)``; ``expand`` as in ``score_links``.
+    """The whole pipeline over ``(doc_id, text)``.
 
     Signatures and groups are stored before the index and the scores read
     them; texts stay where they are and are joined only to the pairs found.
@@ -231,7 +229,7 @@ def find_near_duplicates(
     signatures = stored(compute_signatures(cleaned, options))
     groups = stored(text_groups(signatures, options))
     links = stored(candidate_links(groups, options))
-    return NearDuplicates(cleaned, signatures, groups, links, score_links(links, groups, cleaned, similarity, expand))
+    return NearDuplicates(cleaned, signatures, groups, links, score_links(links, groups, cleaned, similarity))
 
 
 def run_pipeline(
@@ -239,7 +237,6 @@ def run_pipeline(
     output: str,
     options: Options | None = None,
     similarity: Similarity = cosine_similarity,
-    expand: bool = False,
 ) -> RunMetrics:
     """Run stage by stage, each stage reading the tables the one before wrote.
 
@@ -247,8 +244,8 @@ def run_pipeline(
     ``links.parquet``, ``scored.parquet``, ``candidate_pairs.csv``,
     ``report.csv``, ``distribution.csv`` and ``metrics.csv``. The written
     tables cut the lineage, so a lost executor never reruns an earlier stage.
-    ``candidate_pairs.csv`` has the rows of the link table; with ``expand`` it
-    has every document pair, which is quadratic in the copies of a text.
+    ``candidate_pairs.csv`` has the candidate pairs of distinct texts, each shown by
+    its smallest id, and ``groups.parquet`` says how many copies each text has.
     """
     options = options or Options()
     spark = corpus.sparkSession
@@ -271,8 +268,7 @@ def run_pipeline(
         groups.write.mode("overwrite").parquet(f"{output}/groups.parquet")
         groups = saved("groups")
         candidate_links(groups, options).write.mode("overwrite").parquet(f"{output}/links.parquet")
-        pairs = candidate_links(saved("signatures"), options)
-        write_pairs(lsh.expand_pairs(pairs) if expand else pairs, f"{output}/candidate_pairs.csv")
+        write_pairs(lsh.expand_pairs(saved("links")), f"{output}/candidate_pairs.csv")
     with metrics.stage("evaluation"):
         score_links(saved("links"), groups, cleaned, similarity).write.mode("overwrite").parquet(
             f"{output}/scored.parquet"

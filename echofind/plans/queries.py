@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from echofind.functions import features as feat
@@ -27,6 +27,7 @@ NUM_BANDS, ROWS_PER_BAND, RADIUS = 10, 5, 1
 PROBE_BANDS, PROBE_ROWS, PROBE_RADIUS = 32, 2, 4
 NUM_TABLES, BITS_PER_TABLE, TABLE_RADIUS = 2, 16, 3
 SAMPLE_SIZE, VECTOR_BITS = 16, 32
+PROBE_WEIGHTS, PROBE_SCORE, PROBE_MINHASH = 0.5, 0.4, 0.02
 WEIGHTED_MINHASH, WEIGHTED_SIMHASH, WEIGHTED_SCORE, MINHASH_SCORE = 0.95, 0.05, 0.65, 0.3
 TRUTH_THRESHOLD = 0.6
 SAMPLE_PAIRS = 20
@@ -56,11 +57,6 @@ def _joined(tokens: Column | str, separator: str = " ") -> Column:
     return F.coalesce(F.array_join(tokens, separator), F.lit(""))
 
 
-def _listed(links: DataFrame) -> DataFrame:
-    """A link table with -1 in place of a missing band."""
-    return links.withColumn("band", F.coalesce("band", F.lit(-1)))
-
-
 def _grams() -> Column:
     return text.ngrams(text.words("text"), 3)
 
@@ -92,6 +88,14 @@ def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh.minhash_candidate_pairs(stored(_minhash(_cleaned(spark, sf_dir))), NUM_BANDS, ROWS_PER_BAND)
 
 
+def _text_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every MinHash candidate pair of distinct texts, each shown by its smallest id: (id1, id2, n1, n2, n_pairs)."""
+    options = pipeline.Options()
+    groups = stored(pipeline.text_groups(pipeline.compute_signatures(_cleaned(spark, sf_dir), options), options))
+    links = stored(pipeline.candidate_links(groups, options))
+    return stored(pairs.weigh_pairs(lsh.expand_pairs(links), groups))
+
+
 def _scored(spark: SparkSession, sf_dir: str) -> pipeline.NearDuplicates:
     return pipeline.find_near_duplicates(_documents(spark, sf_dir))
 
@@ -193,10 +197,8 @@ def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def minhash_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    signatures = stored(_minhash(_cleaned(spark, sf_dir)))
-    links = lsh.minhash_candidate_pairs(signatures, NUM_BANDS, ROWS_PER_BAND)
-    both = pairs.attach(links.select("id1", "id2"), signatures, ["signature"])
-    return both.select("id1", "id2", hashing.minhash_similarity("signature1", "signature2").alias("similarity"))
+    both = pairs.attach(_text_pairs(spark, sf_dir), _minhash(_cleaned(spark, sf_dir)), ["signature"])
+    return both.select("id1", "id2", "n_pairs", hashing.minhash_similarity("signature1", "signature2").alias("similarity"))
 
 
 def _binary(signatures: DataFrame) -> DataFrame:
@@ -219,10 +221,8 @@ def simhash_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hamming_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    signatures = stored(_hybrid(_cleaned(spark, sf_dir)))
-    links = lsh.minhash_candidate_pairs(signatures, NUM_BANDS, ROWS_PER_BAND, "minhash")
-    both = pairs.attach(links.select("id1", "id2"), signatures, ["simhash"])
-    return both.select("id1", "id2", hashing.hamming_distance("simhash1", "simhash2").alias("distance"))
+    both = pairs.attach(_text_pairs(spark, sf_dir), stored(_hybrid(_cleaned(spark, sf_dir))), ["simhash"])
+    return both.select("id1", "id2", "n_pairs", hashing.hamming_distance("simhash1", "simhash2").alias("distance"))
 
 
 def bit_vector_xor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,10 +245,9 @@ def bit_sample_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bit_sample_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = _links(spark, sf_dir).select("id1", "id2")
-    both = pairs.attach(links, stored(_sampled(spark, sf_dir)), ["signature"])
+    both = pairs.attach(_text_pairs(spark, sf_dir), stored(_sampled(spark, sf_dir)), ["signature"])
     value = hashing.bit_similarity("signature1", "signature2", SAMPLE_SIZE)
-    return both.select("id1", "id2", value.alias("similarity"))
+    return both.select("id1", "id2", "n_pairs", value.alias("similarity"))
 
 
 def hybrid_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,7 +263,7 @@ def minhash_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def minhash_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _listed(_links(spark, sf_dir))
+    return lsh.weighted_pairs(stored(_links(spark, sf_dir)))
 
 
 def minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,7 +276,8 @@ def simhash_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def simhash_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _listed(lsh.simhash_candidate_pairs(stored(_simhash(_cleaned(spark, sf_dir))), RADIUS, HASH_BITS))
+    links = lsh.simhash_candidate_pairs(stored(_simhash(_cleaned(spark, sf_dir))), RADIUS, HASH_BITS)
+    return lsh.weighted_pairs(stored(links))
 
 
 def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,9 +293,8 @@ def bitsampling_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bitsampling_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     signatures = stored(_simhash(_cleaned(spark, sf_dir)))
-    return _listed(
-        lsh.bitsampling_candidate_pairs(signatures, TABLE_RADIUS, NUM_TABLES, BITS_PER_TABLE, HASH_BITS, SEED)
-    )
+    links = lsh.bitsampling_candidate_pairs(signatures, TABLE_RADIUS, NUM_TABLES, BITS_PER_TABLE, HASH_BITS, SEED)
+    return lsh.weighted_pairs(stored(links))
 
 
 def bitsampling_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,15 +316,31 @@ def _hybrid_merge(strategy: str) -> Query:
             WEIGHTED_SCORE,
             MINHASH_SCORE,
         )
-        return _listed(links)
+        return lsh.weighted_pairs(stored(links))
 
     return query
 
 
-def hybrid_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = stored(_hybrid(_cleaned(spark, sf_dir)))
-    probes = stored(_hybrid(_probes(spark, sf_dir), "probe_id"))
-    return lsh.hybrid_query(probes, index, "union", PROBE_BANDS, PROBE_ROWS, PROBE_RADIUS, HASH_BITS)
+def _twentieth(signatures: DataFrame) -> DataFrame:
+    """Every document whose id is divisible by 20 as a probe."""
+    return signatures.where("doc_id % 20 = 0").withColumnRenamed("doc_id", "probe_id")
+
+
+def bitsampling_query_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = stored(_simhash(_cleaned(spark, sf_dir)))
+    return lsh.bitsampling_query(_twentieth(index), index, TABLE_RADIUS, NUM_TABLES, BITS_PER_TABLE, HASH_BITS, SEED)
+
+
+def _hybrid_probe(strategy: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        index = stored(_hybrid(_cleaned(spark, sf_dir)))
+        probes = _twentieth(index)
+        weights = (PROBE_WEIGHTS, 1 - PROBE_WEIGHTS)
+        return lsh.hybrid_query(
+            probes, index, strategy, PROBE_BANDS, PROBE_ROWS, PROBE_RADIUS, HASH_BITS, weights, PROBE_SCORE, PROBE_MINHASH
+        )
+
+    return query
 
 
 # --- similarity ----------------------------------------------------------------
@@ -333,18 +348,16 @@ def hybrid_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _similarity(measure: pairs.Similarity) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        links = _links(spark, sf_dir).select("id1", "id2")
-        scored = pairs.score_pairs(links, _cleaned(spark, sf_dir), measure)
-        return scored.select("id1", "id2", F.round("similarity", 6).alias("similarity"))
+        scored = pairs.score_pairs(_text_pairs(spark, sf_dir), _cleaned(spark, sf_dir), measure)
+        return scored.select("id1", "id2", "n_pairs", F.round("similarity", 6).alias("similarity"))
 
     return query
 
 
 def jaccard_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = _links(spark, sf_dir).select("id1", "id2")
-    both = pairs.attach(links, _gram_sets(_cleaned(spark, sf_dir)), ["features"])
+    both = pairs.attach(_text_pairs(spark, sf_dir), _gram_sets(_cleaned(spark, sf_dir)), ["features"])
     value = similarity.jaccard_sets("features1", "features2")
-    return both.select("id1", "id2", F.round(value, 6).alias("similarity"))
+    return both.select("id1", "id2", "n_pairs", F.round(value, 6).alias("similarity"))
 
 
 # --- evaluation ----------------------------------------------------------------
@@ -378,7 +391,7 @@ def exact_similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def precision_recall_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups, sets = _collapsed(spark, sf_dir)
     truth = evaluate.exact_similar_pairs(sets, threshold=TRUTH_THRESHOLD)
-    found = lsh.expand_pairs(pipeline.candidate_links(groups, pipeline.Options()))
+    found = lsh.expand_pairs(stored(pipeline.candidate_links(groups, pipeline.Options())))
     result = evaluate.precision_recall_f1(found, truth, groups)
     ratios = [F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")]
     return result.select("true_positives", "false_positives", "false_negatives", *ratios)
@@ -389,15 +402,32 @@ def duplicate_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.sample_pairs(_links(spark, sf_dir), SAMPLE_PAIRS, SEED)
+    return evaluate.sample_pairs(lsh.expand_pairs(stored(_links(spark, sf_dir))), SAMPLE_PAIRS, SEED)
+
+
+def _different_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate pairs of distinct texts without the rows that stand for copies."""
+    return _text_pairs(spark, sf_dir).where("id1 < id2")
 
 
 def pair_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.pair_texts(_links(spark, sf_dir), _documents(spark, sf_dir))
+    return pairs.pair_texts(_different_texts(spark, sf_dir), _documents(spark, sf_dir))
+
+
+def _consecutive_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn of a conversation with the next: pairs of short texts. An id is conv_id * 1000 + turn."""
+    turns = spread(_table(spark, sf_dir, "conversations"), "conv_id")
+    here = Window.partitionBy("conv_id").orderBy("turn")
+    return turns.select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("id1"),
+        (F.col("conv_id") * 1000 + F.lead("turn").over(here)).alias("id2"),
+        F.col("text").alias("text1"),
+        F.lead("text").over(here).alias("text2"),
+    ).where("id2 is not null")
 
 
 def pair_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = diff.pair_diff(pair_texts(spark, sf_dir))
+    marked = diff.pair_diff(_consecutive_turns(spark, sf_dir))
 
     def count(side: str, op: str) -> Column:
         return F.size(F.filter(side, lambda mark: mark["op"] == op))
@@ -412,7 +442,7 @@ def pair_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def diff_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = diff.pair_diff(pair_texts(spark, sf_dir))
+    marked = diff.pair_diff(_consecutive_turns(spark, sf_dir))
     sides = [
         diff.diff_markup(side, style).alias(f"{style}{side[-1]}") for style in ("html", "latex") for side in ("diff1", "diff2")
     ]
@@ -439,16 +469,35 @@ def write_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_signatures_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Binary strings of the bit signatures, one ``text`` line per document."""
+    """Binary strings of the bit signatures, written with their ids and read back."""
     path = f"{shared_dir(spark)}/signatures.csv"
     io.write_signatures(_simhash(_cleaned(spark, sf_dir)), path, hash_bits=HASH_BITS)
-    lines = spark.read.schema("text string").option("header", True).csv(path)
-    return lines.groupBy("text").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.schema("doc_id bigint, text string").option("header", True).csv(path)
+
+
+def write_signatures_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MinHash signatures with one column per hash, written with their ids and read back."""
+    path = f"{shared_dir(spark)}/signatures.csv"
+    io.write_signatures(_minhash(_cleaned(spark, sf_dir)), path, num_hashes=NUM_HASHES)
+    columns = ", ".join(f"`{i}` bigint" for i in range(NUM_HASHES))
+    wide = spark.read.schema(f"doc_id bigint, {columns}").option("header", True).csv(path)
+    return wide.select("doc_id", F.concat_ws(",", *[f"`{i}`" for i in range(NUM_HASHES)]).alias("signature"))
+
+
+def read_corpus_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A directory of two CSV files with their columns in different order and one parquet file."""
+    folder = shared_dir(spark)
+    docs = _table(spark, sf_dir, "documents")
+    parts = {0: ["doc_id", "text"], 1: ["lang", "text", "doc_id"]}
+    for k, columns in parts.items():
+        docs.where(F.col("doc_id") % 3 == k).select(*columns).write.options(**io.CSV_WRITE).csv(f"{folder}/{k}.csv")
+    docs.where("doc_id % 3 = 2").write.parquet(f"{folder}/2.parquet")
+    return io.read_corpus(spark, folder, id_column="doc_id")
 
 
 def read_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/pairs.csv"
-    io.write_pairs(_links(spark, sf_dir), path)
+    io.write_pairs(_different_texts(spark, sf_dir), path)
     return io.read_pairs(spark, path)
 
 
@@ -469,13 +518,16 @@ def runtime_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- end to end ----------------------------------------------------------------
 
 
-def find_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _scored(spark, sf_dir).scored
-    return scored.select("id1", "id2", "n_pairs", F.round("similarity", 6).alias("similarity"))
+def _end_to_end(options: pipeline.Options | None) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        scored = pipeline.find_near_duplicates(_documents(spark, sf_dir), options).scored
+        return scored.select("id1", "id2", "n_pairs", F.round("similarity", 6).alias("similarity"))
+
+    return query
 
 
 def inspect_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pipeline.inspect_pairs(_documents(spark, sf_dir), _links(spark, sf_dir), SAMPLE_PAIRS, SEED)
+    return pipeline.inspect_pairs(_documents(spark, sf_dir), _different_texts(spark, sf_dir), SAMPLE_PAIRS, SEED)
 
 
 QUERIES: dict[str, Query] = {
@@ -516,7 +568,7 @@ QUERIES: dict[str, Query] = {
         bitsampling_buckets,
         bitsampling_candidate_pairs,
         bitsampling_query,
-        hybrid_query,
+        bitsampling_query_documents,
         jaccard_sets,
         near_duplicate_rate,
         evaluation_report,
@@ -528,13 +580,14 @@ QUERIES: dict[str, Query] = {
         pair_diff,
         diff_markup,
         read_corpus,
+        read_corpus_directory,
         write_preprocessed,
         write_signatures,
         write_signatures_csv,
+        write_signatures_wide,
         read_pairs,
         run_metrics,
         runtime_comparison,
-        find_near_duplicates,
         inspect_pairs,
     )
 } | {
@@ -542,6 +595,19 @@ QUERIES: dict[str, Query] = {
     "hybrid_intersection": _hybrid_merge("intersection"),
     "hybrid_two_stage": _hybrid_merge("two-stage"),
     "hybrid_weighted": _hybrid_merge("weighted"),
+    "hybrid_query": _hybrid_probe("union"),
+    "hybrid_query_intersection": _hybrid_probe("intersection"),
+    "hybrid_query_two_stage": _hybrid_probe("two-stage"),
+    "hybrid_query_weighted": _hybrid_probe("weighted"),
+    "find_near_duplicates": _end_to_end(None),
+    "find_near_duplicates_vectorize": _end_to_end(pipeline.Options(features="vectorize", fingerprint="simhash", hash_bits=HASH_BITS, radius=RADIUS)),
+    "find_near_duplicates_bitsampling": _end_to_end(
+        pipeline.Options(
+            features="token", fingerprint="simhash", index="bitsampling", hash_bits=HASH_BITS, radius=TABLE_RADIUS,
+            num_hash_tables=NUM_TABLES, bits_per_table=BITS_PER_TABLE,
+        )
+    ),
+    "find_near_duplicates_hybrid": _end_to_end(pipeline.Options(fingerprint="hybrid")),
     "cosine_similarity": _similarity(similarity.cosine_similarity),
     "jaccard_text": _similarity(similarity.jaccard_text),
     "euclidean_similarity": _similarity(similarity.euclidean_similarity),

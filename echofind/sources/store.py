@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under the session's checkpoint directory.
 
-    The cluster names that directory in ``spark.checkpoint.dir``; only where
-    it is unset, as in local tests, a temporary folder is chosen.
+    The cluster names that directory in ``spark.checkpoint.dir``. Where it is unset a
+    temporary folder is chosen on ``local[*]`` only: anywhere else executors
+    would not see each other's files, so that is an error.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = spark.conf.get("spark.echofind.localDir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="echofind-")

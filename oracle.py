@@ -94,13 +94,11 @@ def table_equal(x: str, y: str) -> str:
     return "(" + " OR ".join(f"{sampled(x, t)} = {sampled(y, t)}" for t in TABLES) + ")"
 
 
-def links(members: str, pairs: str, source: str) -> str:
-    """Link rows from all pairs: a star per group of copies, the rest between smallest ids."""
+def weighted(members: str, pairs: str) -> str:
+    """All pairs, counted between the smallest ids of their signatures."""
     return f"""
-      SELECT p.id1, p.id2, CASE WHEN a.head = b.head THEN 'copy' ELSE 'pair' END AS link, '{source}' AS source,
-             -1 AS band
-      FROM {pairs} p JOIN {members} a ON a.doc_id = p.id1 JOIN {members} b ON b.doc_id = p.id2
-      WHERE p.id1 = a.head AND (p.id2 = b.head OR a.head = b.head)"""
+      SELECT least(a.head, b.head) AS id1, greatest(a.head, b.head) AS id2, count(*) AS n_pairs
+      FROM {pairs} p JOIN {members} a ON a.doc_id = p.id1 JOIN {members} b ON b.doc_id = p.id2 GROUP BY ALL"""
 
 
 def heads(source: str, key: str) -> str:
@@ -118,7 +116,7 @@ CTES: dict[str, str] = {
     "band": banded("mh", "doc_id", q.NUM_BANDS, q.ROWS_PER_BAND),
     "mp": "SELECT DISTINCT a.doc_id AS id1, b.doc_id AS id2 FROM band a JOIN band b USING (band, key) WHERE a.doc_id < b.doc_id",
     "mhead": heads("mh", "s"),
-    "ml": links("mhead", "mp", "minhash"),
+    "tp": weighted("chead", "mp"),
     "tset": "SELECT DISTINCT doc_id, word AS token FROM tok",
     "sh": f"""SELECT d.doc_id, coalesce(v.s, 0) AS s FROM c d LEFT JOIN (
         SELECT doc_id, {majority('1', q.HASH_BITS)} AS s
@@ -129,10 +127,9 @@ CTES: dict[str, str] = {
     "sp": f"SELECT a.doc_id AS id1, b.doc_id AS id2 FROM sh a JOIN sh b ON a.doc_id < b.doc_id AND bit_count(xor(a.s, b.s)) <= {q.RADIUS}",
     "shead": heads("sh", "s"),
     "sgp": f"SELECT a.doc_id AS id1, b.doc_id AS id2 FROM shg a JOIN shg b ON a.doc_id < b.doc_id AND bit_count(xor(a.s, b.s)) <= {q.RADIUS}",
-    "sghead": heads("shg", "s"),
-    "sgl": links("sghead", "sgp", "simhash"),
     "pairwise": "SELECT mh.doc_id, mh.s AS m, shg.s AS x FROM mh JOIN shg USING (doc_id)",
     "bhead": heads("pairwise", "(m, x)"),
+    "bhead2": "SELECT doc_id, min(doc_id) OVER (PARTITION BY mh.s, shg.s) AS head FROM shg LEFT JOIN mh USING (doc_id)",
     "vec": f"""SELECT d.doc_id, coalesce(v.x, 0)::bigint AS vector FROM c d LEFT JOIN (
         SELECT doc_id, bit_xor({md5_hash('token', q.VECTOR_BITS)}) AS x FROM tset GROUP BY doc_id) v USING (doc_id)""",
     "samp": f"SELECT doc_id, {sampled('vector', SAMPLE)}::bigint AS signature FROM vec",
@@ -152,6 +149,12 @@ CTES: dict[str, str] = {
     "pband": banded("pmh", "probe_id", q.PROBE_BANDS, q.PROBE_ROWS),
     "iband": banded("mh", "doc_id", q.PROBE_BANDS, q.PROBE_ROWS),
     "mq": "SELECT DISTINCT probe_id, doc_id FROM pband JOIN iband USING (band, key)",
+    # every twentieth document as a probe
+    "dmh": "SELECT doc_id AS probe_id, s FROM mh WHERE doc_id % 20 = 0",
+    "dshg": "SELECT doc_id AS probe_id, s FROM shg WHERE doc_id % 20 = 0",
+    "dsh": "SELECT doc_id AS probe_id, s FROM sh WHERE doc_id % 20 = 0",
+    "dband": banded("dmh", "probe_id", q.PROBE_BANDS, q.PROBE_ROWS),
+    "dq": "SELECT DISTINCT probe_id, doc_id FROM dband JOIN iband USING (band, key)",
     # corpus weights
     "vt": "SELECT doc_id, word AS token, count(*) AS tf FROM tok WHERE length(word) >= 2 GROUP BY ALL",
     "idf": """SELECT token, ln((1.0::double + (SELECT count(*) FROM documents)) / (1.0::double + count(*))) + 1 AS idf
@@ -160,6 +163,10 @@ CTES: dict[str, str] = {
         SELECT doc_id, token, tf * idf AS x, sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) AS norm
         FROM vt JOIN idf USING (token)) GROUP BY token""",
     # similarity
+    "whs": f"""SELECT d.doc_id, coalesce(v.s, 0) AS s FROM c d LEFT JOIN (
+        SELECT doc_id, {majority('u', q.HASH_BITS)} AS s FROM (
+          SELECT t.doc_id, {md5_hash('t.token', q.HASH_BITS)} AS h, coalesce(round(k.weight * 1000000.0::double)::bigint, 1000000) AS u
+          FROM tset t LEFT JOIN tfidf k ON k.token = t.token) GROUP BY doc_id) v USING (doc_id)""",
     "norm": "SELECT doc_id, sum(tf * tf) AS n2 FROM tf GROUP BY doc_id",
     "tsize": "SELECT doc_id, count(*) AS n FROM tf GROUP BY doc_id",
     "gsize": "SELECT doc_id, count(*) AS n FROM gset GROUP BY doc_id",
@@ -177,12 +184,12 @@ CTES: dict[str, str] = {
 
 DEPENDS: dict[str, tuple[str, ...]] = {
     "w": ("c",), "tok": ("w",), "tf": ("tok",), "gram": ("tok",), "gset": ("gram",), "mh": ("gset",),
-    "band": ("mh",), "mp": ("band",), "mhead": ("mh",), "ml": ("mhead", "mp"), "tset": ("tok",),
-    "sh": ("c", "tset"), "shg": ("c", "gset"), "sp": ("sh",), "shead": ("sh",), "sgp": ("shg",), "sghead": ("shg",),
-    "sgl": ("sgp", "sghead"), "pairwise": ("mh", "shg"), "bhead": ("pairwise",), "vec": ("c", "tset"), "samp": ("vec",),
+    "band": ("mh",), "mp": ("band",), "mhead": ("mh",), "tp": ("chead", "mp"), "tset": ("tok",),
+    "sh": ("c", "tset"), "shg": ("c", "gset"), "sp": ("sh",), "shead": ("sh",), "sgp": ("shg",), 
+    "bhead2": ("mh", "shg"), "pairwise": ("mh", "shg"), "bhead": ("pairwise",), "vec": ("c", "tset"), "samp": ("vec",),
     "pw": ("pc",), "ptok": ("pw",), "pgram": ("ptok",), "pgset": ("pgram",), "pmh": ("pgset",),
     "psh": ("pc", "ptok"), "pshg": ("pc", "pgset"), "pband": ("pmh",), "iband": ("mh",), "mq": ("pband", "iband"),
-    "vt": ("tok",), "idf": ("vt",), "tfidf": ("vt", "idf"), "norm": ("tf",), "tsize": ("tf",), "gsize": ("gset",),
+    "dmh": ("mh",), "dshg": ("shg",), "dsh": ("sh",), "dband": ("dmh",), "dq": ("dband", "iband"), "vt": ("tok",), "idf": ("vt",), "tfidf": ("vt", "idf"), "norm": ("tf",), "whs": ("c", "tset", "tfidf"), "tsize": ("tf",), "gsize": ("gset",),
     "cos": ("mp", "norm", "tf"), "truth": ("gset", "gsize"), "chead": ("c",),
 }
 
@@ -213,25 +220,56 @@ def _weights_simhash(weights: str, column: str, bits: int, output: str) -> str:
           FROM tset t LEFT JOIN {weights} k ON k.token = t.token) GROUP BY doc_id) v USING (doc_id)"""
 
 
-def _hybrid(strategy: str) -> str:
-    if strategy == "union":
-        return with_ctes("SELECT * FROM ml UNION ALL SELECT * FROM sgl", "ml", "sgl")
+def _kept(strategy: str) -> tuple[str, list[str]]:
+    """The hybrid pairs of a strategy and the tables they are selected from."""
     distance = "bit_count(xor(a.x, b.x))"
     joined = "JOIN pairwise a ON a.doc_id = p.id1 JOIN pairwise b ON b.doc_id = p.id2"
+    if strategy == "union":
+        return "SELECT id1, id2 FROM mp UNION SELECT id1, id2 FROM sgp", ["mp", "sgp"]
     if strategy == "intersection":
-        kept = "SELECT id1, id2 FROM mp INTERSECT SELECT id1, id2 FROM sgp"
-        names = ["mp", "sgp"]
-    elif strategy == "two-stage":
-        kept = f"SELECT p.id1, p.id2 FROM mp p {joined} WHERE {distance} <= {q.RADIUS}"
-        names = ["mp", "pairwise"]
-    else:
-        m = f"(len(list_filter(list_zip(a.m, b.m), lambda z: z[1] = z[2])) / {q.NUM_HASHES}::double)"
-        s = f"(1.0::double - {distance} / {float(q.HASH_BITS)}::double)"
-        score = f"{q.WEIGHTED_MINHASH}::double * {m} + {q.WEIGHTED_SIMHASH}::double * {s}"
-        kept = f"""SELECT p.id1, p.id2 FROM (SELECT id1, id2 FROM mp UNION SELECT id1, id2 FROM sgp) p {joined}
-            WHERE {m} >= {q.MINHASH_SCORE}::double AND {score} >= {q.WEIGHTED_SCORE}::double"""
-        names = ["mp", "sgp", "pairwise"]
-    return with_ctes(links("bhead", f"({kept})", "hybrid"), "bhead", *names)
+        return "SELECT id1, id2 FROM mp INTERSECT SELECT id1, id2 FROM sgp", ["mp", "sgp"]
+    if strategy == "two-stage":
+        return f"SELECT p.id1, p.id2 FROM mp p {joined} WHERE {distance} <= {q.RADIUS}", ["mp", "pairwise"]
+    m = f"(len(list_filter(list_zip(a.m, b.m), lambda z: z[1] = z[2])) / {q.NUM_HASHES}::double)"
+    s = f"(1.0::double - {distance} / {float(q.HASH_BITS)}::double)"
+    score = f"{q.WEIGHTED_MINHASH}::double * {m} + {q.WEIGHTED_SIMHASH}::double * {s}"
+    kept = f"""SELECT p.id1, p.id2 FROM (SELECT id1, id2 FROM mp UNION SELECT id1, id2 FROM sgp) p {joined}
+        WHERE {m} >= {q.MINHASH_SCORE}::double AND {score} >= {q.WEIGHTED_SCORE}::double"""
+    return kept, ["mp", "sgp", "pairwise"]
+
+
+def _hybrid(strategy: str) -> str:
+    heads_of = "bhead2" if strategy == "union" else "bhead"
+    kept, names = _kept(strategy)
+    return with_ctes(weighted(heads_of, f"({kept})"), heads_of, *names)
+
+
+def _probed(strategy: str) -> str:
+    near = f"SELECT probe_id, doc_id FROM dshg a JOIN shg b ON bit_count(xor(a.s, b.s)) <= {q.PROBE_RADIUS}"
+    found = {"union": f"SELECT probe_id, doc_id FROM dq UNION {near}", "intersection": f"SELECT probe_id, doc_id FROM dq INTERSECT {near}"}
+    judged = "JOIN dmh USING (probe_id) JOIN dshg USING (probe_id) JOIN mh USING (doc_id) JOIN shg USING (doc_id)"
+    distance = "bit_count(xor(dshg.s, shg.s))"
+    m = f"(len(list_filter(list_zip(dmh.s, mh.s), lambda z: z[1] = z[2])) / {q.NUM_HASHES}::double)"
+    score = f"{q.PROBE_WEIGHTS}::double * {m} + {1 - q.PROBE_WEIGHTS}::double * (1.0::double - {distance} / {float(q.HASH_BITS)}::double)"
+    found["two-stage"] = f"SELECT probe_id, doc_id FROM dq {judged} WHERE {distance} <= {q.PROBE_RADIUS}"
+    found["weighted"] = f"""SELECT probe_id, doc_id FROM ({found['union']}) {judged}
+        WHERE {m} >= {q.PROBE_MINHASH}::double AND {score} >= {q.PROBE_SCORE}::double"""
+    return with_ctes(found[strategy], "dq", "dmh", "dshg", "mh", "shg")
+
+
+def _end_to_end(pairs: str, *names: str) -> str:
+    """Cosine of all document pairs, averaged between distinct texts."""
+    return with_ctes(
+        f"""SELECT lo AS id1, hi AS id2, count(*) AS n_pairs, round(avg(similarity), 6) AS similarity FROM (
+            SELECT least(x.head, y.head) AS lo, greatest(x.head, y.head) AS hi,
+              coalesce(d.dot, 0) / (sqrt(a.n2::double) * sqrt(b.n2::double)) AS similarity
+            FROM ({pairs}) p JOIN chead x ON x.doc_id = p.id1 JOIN chead y ON y.doc_id = p.id2
+            JOIN norm a ON a.doc_id = p.id1 JOIN norm b ON b.doc_id = p.id2
+            LEFT JOIN (SELECT id1, id2, sum(u.tf * v.tf)::double AS dot FROM ({pairs})
+                       JOIN tf u ON u.doc_id = id1 JOIN tf v ON v.doc_id = id2 AND v.token = u.token GROUP BY id1, id2) d
+            ON d.id1 = p.id1 AND d.id2 = p.id2) GROUP BY ALL""",
+        "chead", "norm", "tf", *names,
+    )
 
 
 def _histogram(scored: str) -> str:
@@ -255,16 +293,16 @@ def oracle_sql() -> dict[str, str]:
         AND bit_count(xor(a.s, b.s)) <= {q.TABLE_RADIUS} AND {table_equal('a.s', 'b.s')}"""
     near = f"""SELECT probe_id, doc_id FROM psh a JOIN sh b ON bit_count(xor(a.s, b.s)) <= {q.PROBE_RADIUS}"""
     matched_grams = "SELECT count(*) FROM gset x JOIN gset y USING (g) WHERE x.doc_id = l.id1 AND y.doc_id = l.id2"
-    linked_dot = """(SELECT id1, id2, sum(x.tf * y.tf)::double AS dot, count(*) AS shared FROM ml
+    linked_dot = """(SELECT id1, id2, sum(x.tf * y.tf)::double AS dot, count(*) AS shared FROM tp
         JOIN tf x ON x.doc_id = id1 JOIN tf y ON y.doc_id = id2 AND y.token = x.token GROUP BY id1, id2)"""
 
     def linked(value: str, *names: str) -> str:
         return with_ctes(
-            f"""SELECT l.id1, l.id2, round({value}, 6) AS similarity FROM ml l
+            f"""SELECT l.id1, l.id2, l.n_pairs, round({value}, 6) AS similarity FROM tp l
             LEFT JOIN {linked_dot} d ON d.id1 = l.id1 AND d.id2 = l.id2
             JOIN norm a ON a.doc_id = l.id1 JOIN norm b ON b.doc_id = l.id2
             JOIN tsize ta ON ta.doc_id = l.id1 JOIN tsize tb ON tb.doc_id = l.id2""",
-            "ml", "tf", "norm", "tsize", *names,
+            "tp", "tf", "norm", "tsize", *names,
         )
 
     return {
@@ -313,8 +351,8 @@ def oracle_sql() -> dict[str, str]:
             "SELECT c.doc_id, coalesce(array_to_string(s, ','), '') AS signature FROM c LEFT JOIN mh USING (doc_id)", "c", "mh"
         ),
         "minhash_similarity": with_ctes(
-            f"""SELECT id1, id2, len(list_filter(list_zip(a.s, b.s), lambda z: z[1] = z[2])) / {q.NUM_HASHES}::double AS similarity
-            FROM ml JOIN mh a ON a.doc_id = id1 JOIN mh b ON b.doc_id = id2""", "ml", "mh"
+            f"""SELECT id1, id2, n_pairs, len(list_filter(list_zip(a.s, b.s), lambda z: z[1] = z[2])) / {q.NUM_HASHES}::double AS similarity
+            FROM tp JOIN mh a ON a.doc_id = id1 JOIN mh b ON b.doc_id = id2""", "tp", "mh"
         ),
         "simhash_signature": with_ctes(f"SELECT doc_id, {binary('s', q.HASH_BITS)} AS signature FROM sh", "sh"),
         "simhash_frequency": with_ctes(
@@ -326,8 +364,8 @@ def oracle_sql() -> dict[str, str]:
             _weights_simhash("tfidf", "weight", q.HASH_BITS, binary("{v}", q.HASH_BITS) + " AS signature"), "c", "tset", "tfidf"
         ),
         "hamming_distance": with_ctes(
-            "SELECT id1, id2, bit_count(xor(a.s, b.s))::bigint AS distance FROM ml JOIN shg a ON a.doc_id = id1 JOIN shg b ON b.doc_id = id2",
-            "ml", "shg",
+            "SELECT id1, id2, n_pairs, bit_count(xor(a.s, b.s))::bigint AS distance FROM tp JOIN shg a ON a.doc_id = id1 JOIN shg b ON b.doc_id = id2",
+            "tp", "shg",
         ),
         "bit_vector_xor": with_ctes("SELECT doc_id, vector FROM vec", "vec"),
         "bit_vector_weighted": with_ctes(
@@ -335,43 +373,45 @@ def oracle_sql() -> dict[str, str]:
         ),
         "bit_sample_signature": with_ctes("SELECT doc_id, signature FROM samp", "samp"),
         "bit_sample_similarity": with_ctes(
-            f"""SELECT id1, id2, 1.0::double - bit_count(xor(a.signature, b.signature)) / {float(q.SAMPLE_SIZE)}::double AS similarity
-            FROM ml JOIN samp a ON a.doc_id = id1 JOIN samp b ON b.doc_id = id2""", "ml", "samp"
+            f"""SELECT id1, id2, n_pairs, 1.0::double - bit_count(xor(a.signature, b.signature)) / {float(q.SAMPLE_SIZE)}::double AS similarity
+            FROM tp JOIN samp a ON a.doc_id = id1 JOIN samp b ON b.doc_id = id2""", "tp", "samp"
         ),
         "hybrid_signature": with_ctes(
             "SELECT c.doc_id, coalesce(array_to_string(mh.s, ','), '') AS minhash, shg.s AS simhash FROM c LEFT JOIN mh USING (doc_id) JOIN shg USING (doc_id)",
             "c", "mh", "shg",
         ),
         "minhash_bands": with_ctes("SELECT doc_id, band, array_to_string(key, ',') AS key FROM band", "band"),
-        "minhash_candidate_pairs": with_ctes("SELECT * FROM ml", "ml"),
+        "minhash_candidate_pairs": with_ctes(weighted("mhead", "mp"), "mhead", "mp"),
         "minhash_query": with_ctes("SELECT probe_id, doc_id FROM mq", "mq"),
         "simhash_buckets": with_ctes(
             f"SELECT doc_id, unnest([s, {', '.join(f'xor(s, {1 << i})' for i in range(q.HASH_BITS))}])::bigint AS bucket FROM sh", "sh"
         ),
-        "simhash_candidate_pairs": with_ctes(links("shead", "sp", "simhash"), "shead", "sp"),
+        "simhash_candidate_pairs": with_ctes(weighted("shead", "sp"), "shead", "sp"),
         "simhash_query": with_ctes(near, "psh", "sh"),
         "bitsampling_buckets": with_ctes(
             f"""SELECT doc_id, unnest(range({q.NUM_TABLES}))::int AS tbl, unnest([{', '.join(sampled('s', t) for t in TABLES)}])::bigint AS key
             FROM sh""", "sh"
         ),
-        "bitsampling_candidate_pairs": with_ctes(links("shead", f"({bitsampled})", "bitsampling"), "shead", "sh"),
+        "bitsampling_candidate_pairs": with_ctes(weighted("shead", f"({bitsampled})"), "shead", "sh"),
         "bitsampling_query": with_ctes(near + f" AND {table_equal('a.s', 'b.s')}", "psh", "sh"),
         "hybrid_union": _hybrid("union"),
         "hybrid_intersection": _hybrid("intersection"),
         "hybrid_two_stage": _hybrid("two-stage"),
         "hybrid_weighted": _hybrid("weighted"),
-        "hybrid_query": with_ctes(
-            f"""SELECT probe_id, doc_id FROM mq UNION
-            SELECT probe_id, doc_id FROM pshg a JOIN shg b ON bit_count(xor(a.s, b.s)) <= {q.PROBE_RADIUS}""",
-            "mq", "pshg", "shg",
+        "bitsampling_query_documents": with_ctes(
+            f"SELECT probe_id, doc_id FROM dsh a JOIN sh b ON bit_count(xor(a.s, b.s)) <= {q.TABLE_RADIUS} AND {table_equal('a.s', 'b.s')}", "dsh", "sh"
         ),
+        "hybrid_query": _probed("union"),
+        "hybrid_query_intersection": _probed("intersection"),
+        "hybrid_query_two_stage": _probed("two-stage"),
+        "hybrid_query_weighted": _probed("weighted"),
         "cosine_similarity": linked("coalesce(d.dot, 0) / (sqrt(a.n2::double) * sqrt(b.n2::double))"),
         "euclidean_similarity": linked("1 / (1 + sqrt((a.n2 + b.n2)::double - 2 * coalesce(d.dot, 0)))"),
         "jaccard_text": linked("coalesce(d.shared, 0) / (ta.n + tb.n - coalesce(d.shared, 0))::double"),
         "jaccard_sets": with_ctes(
-            f"""SELECT id1, id2, round(k / (a.n + b.n - k)::double, 6) AS similarity
-            FROM (SELECT l.id1, l.id2, ({matched_grams}) AS k FROM ml l)
-            JOIN gsize a ON a.doc_id = id1 JOIN gsize b ON b.doc_id = id2""", "ml", "gset", "gsize"
+            f"""SELECT id1, id2, n_pairs, round(k / (a.n + b.n - k)::double, 6) AS similarity
+            FROM (SELECT l.id1, l.id2, l.n_pairs, ({matched_grams}) AS k FROM tp l)
+            JOIN gsize a ON a.doc_id = id1 JOIN gsize b ON b.doc_id = id2""", "tp", "gset", "gsize"
         ),
         "near_duplicate_rate": with_ctes(
             "SELECT count(*) AS candidate_pairs, round(coalesce(avg(similarity), 0), 6) AS near_duplicate_rate FROM cos", "cos"
@@ -395,20 +435,27 @@ def oracle_sql() -> dict[str, str]:
         ),
         "duplicate_distribution": with_ctes(_histogram("cos"), "cos"),
         "sample_pairs": with_ctes(
-            f"SELECT id1, id2 FROM ml ORDER BY md5('{q.SEED}:' || id1 || ':' || id2), id1, id2 LIMIT {q.SAMPLE_PAIRS}", "ml"
+            f"SELECT id1, id2 FROM mp ORDER BY md5('{q.SEED}:' || id1 || ':' || id2), id1, id2 LIMIT {q.SAMPLE_PAIRS}", "mp"
         ),
         "pair_texts": with_ctes(
-            "SELECT id1, id2, a.text AS text1, b.text AS text2 FROM ml JOIN documents a ON a.doc_id = id1 JOIN documents b ON b.doc_id = id2", "ml"
+            "SELECT id1, id2, a.text AS text1, b.text AS text2 FROM tp JOIN documents a ON a.doc_id = id1 JOIN documents b ON b.doc_id = id2 WHERE id1 < id2", "tp"
         ),
         "read_corpus": "SELECT doc_id, text FROM documents",
         "write_preprocessed": with_ctes("SELECT doc_id, text FROM c", "c"),
         "write_signatures": with_ctes(
             "SELECT c.doc_id, coalesce(array_to_string(s, ','), '') AS signature FROM c LEFT JOIN mh USING (doc_id)", "c", "mh"
         ),
-        "write_signatures_csv": with_ctes(
-            f"SELECT {binary('s', q.HASH_BITS)} AS text, count(*) AS n FROM sh GROUP BY ALL", "sh"
+        "write_signatures_csv": with_ctes(f"SELECT doc_id, {binary('s', q.HASH_BITS)} AS text FROM sh", "sh"),
+        "write_signatures_wide": with_ctes(
+            "SELECT c.doc_id, coalesce(array_to_string(s, ','), '') AS signature FROM c LEFT JOIN mh USING (doc_id)", "c", "mh"
+        ),
+        "read_corpus_directory": "SELECT doc_id, text FROM documents",
+        "find_near_duplicates_vectorize": _end_to_end(
+            f"SELECT a.doc_id AS id1, b.doc_id AS id2 FROM whs a JOIN whs b ON a.doc_id < b.doc_id AND bit_count(xor(a.s, b.s)) <= {q.RADIUS}", "whs"
         ),
-        "read_pairs": with_ctes("SELECT id1, id2 FROM ml", "ml"),
+        "find_near_duplicates_bitsampling": _end_to_end(bitsampled, "sh"),
+        "find_near_duplicates_hybrid": _end_to_end(_kept("weighted")[0], *_kept("weighted")[1]),
+        "read_pairs": with_ctes("SELECT id1, id2 FROM tp WHERE id1 < id2", "tp"),
         "find_near_duplicates": with_ctes(
             """SELECT a.head AS id1, b.head AS id2, count(*) AS n_pairs, round(avg(similarity), 6) AS similarity
             FROM (SELECT least(x.head, y.head) AS lo, greatest(x.head, y.head) AS hi, similarity FROM cos

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from functools import cache
 from collections import Counter
 from itertools import combinations
 
@@ -171,21 +172,27 @@ word_lists = st.lists(st.sampled_from("abcd"), max_size=14)
 
 
 def plain_common(a, b):
-    """Full table and walk back, preferring a step in ``a`` on ties."""
-    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i, x in enumerate(a, 1):
-        for j, y in enumerate(b, 1):
-            table[i][j] = table[i - 1][j - 1] + 1 if x == y else max(table[i - 1][j], table[i][j - 1])
-    found, i, j = [], len(a), len(b)
-    while i and j:
+    """The defining recursion on prefixes: equal last words are common, else the longer of the two shorter problems."""
+
+    @cache
+    def longest(i, j):
+        if not i or not j:
+            return 0, ()
         if a[i - 1] == b[j - 1]:
-            found.append(a[i - 1])
-            i, j = i - 1, j - 1
-        elif table[i - 1][j] >= table[i][j - 1]:
-            i -= 1
-        else:
-            j -= 1
-    return found[::-1]
+            n, chain = longest(i - 1, j - 1)
+            return n + 1, (chain, a[i - 1])
+        # The first of equals wins: dropping a word of ``a`` comes first.
+        return max(longest(i - 1, j), longest(i, j - 1), key=lambda found: found[0])
+
+    for i in range(len(a) + 1):  # fills the table row by row, so that no call goes deep
+        for j in range(len(b) + 1):
+            longest(i, j)
+    _, chain = longest(len(a), len(b))
+    words = []
+    while chain:
+        chain, word = chain
+        words.append(word)
+    return words[::-1]
 
 
 @settings(max_examples=300, deadline=None)
@@ -212,7 +219,7 @@ def test_marks_rebuild_both_texts(a, b):
 
 def test_pair_diff_and_markup(spark):
     texts = spark.createDataFrame(
-        [(1, 2, "A picture is worth a thousand <words>", "A picture is worth a <words> indeed"), (3, 4, "", "x")],
+        [(1, 2, "The drawer holds a very old <map>", "The drawer holds a very <map> indeed"), (3, 4, "", "x")],
         "id1 bigint, id2 bigint, text1 string, text2 string",
     )
     rows = {
@@ -227,10 +234,10 @@ def test_pair_diff_and_markup(spark):
         )
         .collect()
     }
-    assert rows[1]["h1"] == 'A picture is worth a <span class="deleted">thousand</span> &lt;words&gt;'
-    assert rows[1]["h2"] == 'A picture is worth a &lt;words&gt; <span class="added">indeed</span>'
-    assert rows[1]["l1"] == "A picture is worth a \\textcolor{red}{thousand} <words>"
-    assert rows[1]["l2"] == "A picture is worth a <words> \\textcolor{green}{indeed}"
+    assert rows[1]["h1"] == 'The drawer holds a very <span class="deleted">old</span> &lt;map&gt;'
+    assert rows[1]["h2"] == 'The drawer holds a very &lt;map&gt; <span class="added">indeed</span>'
+    assert rows[1]["l1"] == "The drawer holds a very \\textcolor{red}{old} <map>"
+    assert rows[1]["l2"] == "The drawer holds a very <map> \\textcolor{green}{indeed}"
     assert (rows[3]["h1"], rows[3]["h2"]) == ("", '<span class="added">x</span>')
     with pytest.raises(ValueError):
         diff.diff_markup("diff1", "pdf")

@@ -52,26 +52,53 @@ def simhashes(spark):
     return rows, spark.createDataFrame(list(rows.items()), "doc_id bigint, signature bigint").repartition(5).cache()
 
 
-@pytest.mark.parametrize("hot", [1, 3, 1000])
-def test_minhash_pairs_equal_brute_force(minhashes, hot):
+@pytest.mark.parametrize("tile_rows", [1, 4, 1000])
+def test_minhash_pairs_equal_brute_force(minhashes, tile_rows):
     rows, frame = minhashes
-    links = lsh.minhash_candidate_pairs(frame, 3, 2, hot_bucket_size=hot)
-    kinds = {r["link"] for r in links.select("link").distinct().collect()}
-    assert kinds == ({"copy", "bucket"} if hot == 1 else {"copy", "bucket", "pair"} if hot == 3 else {"copy", "pair"})
+    links = lsh.minhash_candidate_pairs(frame, 3, 2, tile_rows=tile_rows).cache()
     expected = brute(rows, share_band(3, 2))
-    assert pair_set(lsh.expand_pairs(links)) == expected
-    assert pair_set(lsh.expand_pairs(links, tile_rows=4)) == expected
+    assert pair_set(lsh.expand_pairs(links, tile_rows)) == expected
+    assert {r["link"] for r in links.select("link").distinct().collect()} == {"copy", "pair"}
+    distinct = len({tuple(s) for s in rows.values()})
+    assert links.where("link = 'copy'").count() == len(rows) - distinct
+
+
+def weights(rows, expected):
+    """Pairs counted between the smallest ids of equal signatures."""
+    head = {}
+    for i in sorted(rows):
+        head.setdefault(str(rows[i]), i)
+    found = {}
+    for a, b in expected:
+        key = tuple(sorted((head[str(rows[a])], head[str(rows[b])])))
+        found[key] = found.get(key, 0) + 1
+    return found
 
 
-def test_link_rows_are_candidates_and_stay_linear(minhashes):
+def test_weighted_pairs(minhashes, simhashes):
     rows, frame = minhashes
-    links = lsh.minhash_candidate_pairs(frame, 3, 2, hot_bucket_size=1)
-    expected = brute(rows, share_band(3, 2))
-    listed = links.select("id1", "id2").distinct()
-    assert pair_set(listed) <= expected
-    distinct = len({tuple(s) for s in rows.values()})
-    assert links.where("link = 'copy'").count() == len(rows) - distinct
-    assert links.where("link = 'bucket'").count() <= 3 * distinct
+    found = lsh.weighted_pairs(lsh.minhash_candidate_pairs(frame, 3, 2)).collect()
+    assert {(r["id1"], r["id2"]): r["n_pairs"] for r in found} == weights(rows, brute(rows, share_band(3, 2)))
+    rows, frame = simhashes
+    found = lsh.weighted_pairs(lsh.simhash_candidate_pairs(frame, 2, 24)).collect()
+    assert {(r["id1"], r["id2"]): r["n_pairs"] for r in found} == weights(rows, brute(rows, lambda x, y: distance(x, y) <= 2))
+
+
+def test_a_bucket_of_many_signatures(spark):
+    """1,200 different signatures in one bucket give all their pairs."""
+    frame = spark.range(1200).select(F.col("id").alias("doc_id"), F.array(F.lit(1).cast("bigint"), F.col("id")).alias("signature"))
+    links = lsh.minhash_candidate_pairs(frame, 1, 1)
+    assert links.count() == 1200 * 1199 // 2
+
+
+def test_index_operators_start_no_job(minhashes, simhashes, spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "building plans only")
+    links = lsh.minhash_candidate_pairs(minhashes[1], 3, 2)
+    lsh.expand_pairs(links), lsh.weighted_pairs(links)
+    lsh.simhash_candidate_pairs(simhashes[1], 2, 24), lsh.bitsampling_candidate_pairs(simhashes[1], 2, 3, 8, 24)
+    assert not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_minhash_bands(minhashes):
@@ -95,23 +122,32 @@ def test_minhash_query(minhashes, spark):
     assert (1000, 0) in found
 
 
-@pytest.mark.parametrize(
-    "radius,method", [(0, "flips"), (1, "flips"), (3, "flips"), (0, "blocks"), (1, "blocks"), (3, "blocks"), (5, "blocks"), (4, "auto")]
-)
-def test_simhash_pairs_equal_brute_force(simhashes, radius, method):
+@pytest.mark.parametrize("radius", [0, 1, 3, 5])
+def test_simhash_pairs_equal_brute_force(simhashes, radius):
     rows, frame = simhashes
-    links = lsh.simhash_candidate_pairs(frame, radius, 24, method=method, tile_rows=16)
+    links = lsh.simhash_candidate_pairs(frame, radius, 24, tile_rows=16)
     assert pair_set(lsh.expand_pairs(links)) == brute(rows, lambda x, y: distance(x, y) <= radius)
 
 
 def test_simhash_pairs_use_all_64_bits(spark):
+    draw = random.Random(8)
     rows = {1: 0, 2: -(2**63), 3: -1, 4: 2**63 - 1, 5: 1}
+    for i in range(10, 60):
+        base = draw.getrandbits(63)
+        rows |= {i: base, i + 100: base ^ sum(1 << b for b in draw.sample(range(63), draw.randrange(1, 6)))}
     frame = spark.createDataFrame(list(rows.items()), "doc_id bigint, signature bigint")
-    for method in ("flips", "blocks"):
-        links = lsh.simhash_candidate_pairs(frame, 1, 64, method=method)
-        assert pair_set(links) == {(1, 2), (1, 5), (3, 4)}
-    with pytest.raises(ValueError):
-        lsh.simhash_candidate_pairs(frame, 1, 64, method="guess")
+    for radius in (1, 3, 4):
+        links = lsh.simhash_candidate_pairs(frame, radius, 64)
+        assert pair_set(links) == brute(rows, lambda x, y, r=radius: distance(x, y) <= r)
+
+
+@pytest.mark.parametrize("hash_bits,radius", [(24, 0), (24, 1), (24, 3), (5, 3), (3, 4), (64, 2)])
+def test_some_mask_is_free_of_differences(hash_bits, radius):
+    masks = lsh.block_masks(hash_bits, radius)
+    draw = random.Random(hash_bits)
+    for _ in range(300):
+        flips = draw.sample(range(hash_bits), draw.randrange(0, min(radius, hash_bits) + 1))
+        assert any(mask & sum(1 << b for b in flips) == 0 for mask in masks)
 
 
 def test_simhash_buckets(spark):
@@ -121,12 +157,11 @@ def test_simhash_buckets(spark):
     assert lsh.simhash_buckets(frame, 2, 4).count() == 1 + 4 + 6
 
 
-@pytest.mark.parametrize("method", ["flips", "blocks"])
-def test_simhash_query(simhashes, spark, method):
+def test_simhash_query(simhashes, spark):
     rows, frame = simhashes
     probes = {1: rows[0] ^ 1, 2: 12345, 3: 12345 ^ 0b11}
     asked = spark.createDataFrame(list(probes.items()), "probe_id bigint, signature bigint")
-    found = lsh.simhash_query(asked, frame, 2, 24, method=method).collect()
+    found = lsh.simhash_query(asked, frame, 2, 24).collect()
     expected = {(p, d) for p, x in probes.items() for d, y in rows.items() if distance(x, y) <= 2}
     assert len(found) == len(expected) and {tuple(r) for r in found} == expected
 
@@ -135,12 +170,12 @@ def share_table(tables):
     return lambda x, y: any(all((x >> i & 1) == (y >> i & 1) for i in t) for t in tables)
 
 
-@pytest.mark.parametrize("radius,method", [(1, "flips"), (2, "flips"), (2, "tables"), (4, "tables"), (3, "auto"), (None, "auto")])
-def test_bitsampling_pairs_equal_brute_force(simhashes, radius, method):
+@pytest.mark.parametrize("radius", [1, 2, 4, None])
+def test_bitsampling_pairs_equal_brute_force(simhashes, radius):
     rows, frame = simhashes
     tables = hashing.bit_tables(24, 3, 8, 42)
     shared = share_table(tables)
-    links = lsh.bitsampling_candidate_pairs(frame, radius, 3, 8, 24, method=method, hot_bucket_size=2, tile_rows=8)
+    links = lsh.bitsampling_candidate_pairs(frame, radius, 3, 8, 24, tile_rows=8)
     limit = 24 if radius is None else radius
     assert pair_set(lsh.expand_pairs(links)) == brute(rows, lambda x, y: shared(x, y) and distance(x, y) <= limit)
 
@@ -151,8 +186,8 @@ def test_bitsampling_query_and_buckets(simhashes, spark):
     shared = share_table(tables)
     probes = {1: rows[0] ^ 1, 2: 12345}
     asked = spark.createDataFrame(list(probes.items()), "probe_id bigint, signature bigint")
-    for radius, method in ((2, "flips"), (2, "tables"), (None, "auto")):
-        found = lsh.bitsampling_query(asked, frame, radius, 3, 8, 24, method=method).collect()
+    for radius in (2, None):
+        found = lsh.bitsampling_query(asked, frame, radius, 3, 8, 24).collect()
         limit = 24 if radius is None else radius
         expected = {(p, d) for p, x in probes.items() for d, y in rows.items() if shared(x, y) and distance(x, y) <= limit}
         assert len(found) == len(expected) and {tuple(r) for r in found} == expected
@@ -197,7 +232,7 @@ def test_hybrid_pairs_equal_brute_force(hybrids, strategy):
         "weighted": lambda x, y: (banded(x[0], y[0]) or near(x, y)) and score(x, y),
     }
     present = dict(rows)
-    links = lsh.hybrid_pairs(frame.where("doc_id < 500"), strategy, 3, 2, 1, 24, (0.6, 0.4), 0.65, 0.3, hot_bucket_size=4)
+    links = lsh.hybrid_pairs(frame.where("doc_id < 500"), strategy, 3, 2, 1, 24, (0.6, 0.4), 0.65, 0.3, tile_rows=4)
     assert pair_set(lsh.expand_pairs(links)) == brute(present, rules[strategy])
     probes = frame.where("doc_id in (0, 50, 90)").withColumnRenamed("doc_id", "probe_id")
     found = lsh.hybrid_query(probes, frame.where("doc_id < 500"), strategy, 3, 2, 1, 24, (0.6, 0.4), 0.65, 0.3).collect()
@@ -224,8 +259,8 @@ def test_no_cartesian_product(minhashes, simhashes):
     plans = [
         lsh.minhash_candidate_pairs(minhashes[1], 3, 2),
         lsh.simhash_candidate_pairs(simhashes[1], 1, 24),
-        lsh.simhash_candidate_pairs(simhashes[1], 4, 24, method="blocks"),
-        lsh.bitsampling_candidate_pairs(simhashes[1], 4, 3, 8, 24, method="tables"),
+        lsh.simhash_candidate_pairs(simhashes[1], 4, 24),
+        lsh.bitsampling_candidate_pairs(simhashes[1], 4, 3, 8, 24),
         lsh.expand_pairs(lsh.minhash_candidate_pairs(minhashes[1], 3, 2)),
     ]
     for frame in plans:

@@ -17,14 +17,14 @@ from echofind.sources.metrics import RunMetrics, read_metrics
 from echofind.sources.store import shared_dir, spread, stored
 
 SAMPLE = [
-    (1, "The quick brown fox jumps over the lazy dog"),
-    (2, "A journey of a thousand miles begins with a single step"),
-    (3, "To be or not to be, that is the question"),
-    (4, "All that glitters is not gold"),
-    (5, "The early bird catches the worm"),
-    (6, "Actions speak louder than words"),
-    (7, "A picture is worth a thousand words"),
-    (8, "A picture is worth a words"),
+    (1, "Rain fell on the harbour all night and nobody slept"),
+    (2, "Our neighbour repairs clocks in a shed behind the mill"),
+    (3, "Three bakers share one oven near the market square"),
+    (4, "Sparks table joins are planned before any row is read"),
+    (5, "Grey herons wait by the lock until the barges pass"),
+    (6, "She sold the last ticket at noon and closed the booth"),
+    (7, "The museum keeps its oldest maps in a locked drawer"),
+    (8, "The museum keeps its oldest maps in a drawer"),
 ]
 AWKWARD = [(1, 'quote " and, comma'), (2, "two\nlines"), (3, " outer blanks "), (4, "back\\slash"), (5, "ünï"), (6, "")]
 
@@ -92,11 +92,52 @@ def test_write_errors(spark, tmp_path, sample):
         io.write_preprocessed(sample.where("doc_id > 99"), str(tmp_path / "none.parquet"))
 
 
+def test_an_empty_write_keeps_the_old_output(spark, tmp_path, sample):
+    for kind in io.FORMATS:
+        path = str(tmp_path / f"kept.{kind}")
+        io.write_preprocessed(sample, path, id_col="doc_id")
+        with pytest.raises(ValueError):
+            io.write_preprocessed(sample.where("doc_id > 99"), path, id_col="doc_id")
+        assert io.read_corpus(spark, path, "doc_id").count() == len(SAMPLE)
+        assert [p.name for p in tmp_path.iterdir() if "kept" in p.name and p.suffix == f".{kind}"] == [f"kept.{kind}"]
+
+
+def test_directory_of_differing_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,text\n1,alpha one\n")
+    (tmp_path / "b.csv").write_text("text,id\nbeta two,2\n")
+    (tmp_path / "c.csv").write_text("id,lang,text\n3,en,gamma three\n")
+    (tmp_path / "d.csv").write_text("id,text\n4,delta four\n")
+    back = io.read_corpus(spark, str(tmp_path), id_column="id")
+    assert sorted(tuple(r) for r in back.collect()) == [(1, "alpha one"), (2, "beta two"), (3, "gamma three"), (4, "delta four")]
+    (tmp_path / "e.csv").write_text("id,body\n5,x\n")
+    with pytest.raises(ValueError, match="text"):
+        io.read_corpus(spark, str(tmp_path), id_column="id")
+
+
+def test_parquet_without_text_is_an_error(spark, tmp_path, sample):
+    sample.write.parquet(str(tmp_path / "good"))
+    sample.select("doc_id", F.col("text").alias("body")).write.parquet(str(tmp_path / "bad"))
+    with pytest.raises(ValueError, match="text"):
+        io.read_corpus(spark, str(tmp_path), "doc_id")
+
+
+def test_numbered_rows_keep_their_ids(spark, tmp_path, sample):
+    sample.select("text").write.parquet(str(tmp_path / "plain.parquet"))
+    corpus = io.read_corpus(spark, str(tmp_path / "plain.parquet"))
+    assert sorted(map(tuple, corpus.collect())) == sorted(map(tuple, corpus.repartition(3).collect()))
+
+
+def test_single_line_csv(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("id,text\n1,x\n2,y\n")
+    back = io.read_corpus(spark, str(tmp_path / "s.csv"), "id", multi_line=False)
+    assert sorted(map(tuple, back.collect())) == [(1, "x"), (2, "y")]
+
+
 def test_pairs_round_trip(spark, tmp_path):
     pairs = spark.createDataFrame([(1, 2), (3, 4)], "id1 bigint, id2 bigint")
     path = str(tmp_path / "pairs.csv")
-    io.write_pairs(pairs, path)
-    assert pair_set(io.read_pairs(spark, path)) == {(1, 2), (3, 4)}
+    io.write_pairs(pairs.unionByName(pairs), path)
+    assert pair_set(io.read_pairs(spark, path)) == {(1, 2), (3, 4)} and io.read_pairs(spark, path).count() == 2
     (tmp_path / "bad.csv").write_text("1,2,3\n")
     with pytest.raises(Exception):
         io.read_pairs(spark, str(tmp_path / "bad.csv")).collect()
@@ -109,7 +150,11 @@ def test_signature_layouts(spark, tmp_path):
     path = str(tmp_path / "s.csv")
     io.write_signatures(arrays, path, num_hashes=3)
     wide = spark.read.option("header", True).csv(path)
-    assert wide.columns == ["0", "1", "2"] and wide.count() == 2
+    assert wide.columns == ["doc_id", "0", "1", "2"]
+    assert sorted(tuple(map(int, r)) for r in wide.collect()) == [(1, 5, 6, 7), (2, 8, 9, 10)]
+    for wrong in (2, 4):
+        with pytest.raises(Exception, match="num_hashes"):
+            io.write_signatures(arrays, path, num_hashes=wrong)
     bits = spark.createDataFrame([(1, 5)], "doc_id bigint, signature bigint")
     io.write_signatures(bits, str(tmp_path / "b.csv"), hash_bits=8)
     assert spark.read.option("header", True).csv(str(tmp_path / "b.csv")).first()["text"] == "00000101"
@@ -177,19 +222,22 @@ def test_collapsed_run_equals_run_over_all_documents(spark, documents, options):
     corpus = documents.unionByName(copies)
     rate = find_near_duplicates(corpus, options).rate().first()
     cleaned = stored(clean_corpus(corpus))
-    every = expand_pairs(candidate_links(stored(compute_signatures(cleaned, options)), options))
+    every = expand_pairs(stored(candidate_links(stored(compute_signatures(cleaned, options)), options)))
     plain = near_duplicate_rate(score_pairs(every, cleaned)).first()
     assert rate["candidate_pairs"] == plain["candidate_pairs"] >= 6
     assert rate["near_duplicate_rate"] == pytest.approx(plain["near_duplicate_rate"])
 
 
-def test_scoring_links_only(spark, documents):
-    options = Options(hot_bucket_size=2)
-    full = find_near_duplicates(documents, options).scored
-    listed = find_near_duplicates(documents, options, expand=False).scored
-    assert pair_set(listed) <= pair_set(full)
-    rows = {(r["id1"], r["id2"]): r["similarity"] for r in full.collect()}
-    assert all(rows[r["id1"], r["id2"]] == r["similarity"] for r in listed.collect())
+def test_word_weights_change_signatures(documents):
+    from echofind.plans.pipeline import clean_corpus, compute_signatures
+
+    cleaned = stored(clean_corpus(documents))
+    for fingerprint, column in (("simhash", "signature"), ("hybrid", "simhash")):
+        weighted, plain = (
+            {r["doc_id"]: r[column] for r in compute_signatures(cleaned, Options(features=f, fingerprint=fingerprint)).collect()}
+            for f in ("vectorize", "token")
+        )
+        assert weighted.keys() == plain.keys() and weighted != plain
 
 
 def test_null_and_short_texts(spark):
@@ -220,11 +268,13 @@ def test_option_errors(bad):
 
 def test_run_pipeline_writes_every_stage(spark, documents, tmp_path):
     output = str(tmp_path / "run")
-    metrics = run_pipeline(documents, output, similarity=jaccard_text, expand=True)
+    metrics = run_pipeline(documents, output, similarity=jaccard_text)
     assert set(metrics.runtime) == {"preprocess", "fingerprint", "index", "evaluation"}
     assert metrics.results["raw_data_count"] == documents.count()
     pairs = io.read_pairs(spark, f"{output}/candidate_pairs.csv")
-    assert pairs.count() == metrics.results["candidate_pairs_count"]
+    scored = spark.read.parquet(f"{output}/scored.parquet")
+    assert pair_set(pairs) == pair_set(scored.where("id1 < id2")) and pairs.count() == pairs.distinct().count()
+    assert scored.agg(F.sum("n_pairs")).first()[0] == metrics.results["candidate_pairs_count"]
     assert 0 < metrics.results["duplicate_rate"] <= 1
     names = {r["name"] for r in read_metrics(spark, f"{output}/metrics.csv").collect()}
     assert {"num_hashes", "duplicate_rate", "index"} <= names
@@ -236,13 +286,13 @@ def test_inspect_pairs(spark, sample):
     assert len(shown) == 5
     pair = spark.createDataFrame([(7, 8)], "id1 bigint, id2 bigint")
     row = inspect_pairs(sample, pair, style="latex").first()
-    assert row["markup1"] == "A picture is worth a \\textcolor{red}{thousand} words"
-    assert row["markup2"] == "A picture is worth a words"
+    assert row["markup1"] == "The museum keeps its oldest maps in a \\textcolor{red}{locked} drawer"
+    assert row["markup2"] == "The museum keeps its oldest maps in a drawer"
 
 
 def test_contract_names():
-    names = set(contract.queries())
-    assert set(oracle.oracle_sql()) <= names
+    names = set(contract.QUERIES)
+    assert set(oracle.oracle_sql()) <= names <= set(contract.queries())
     assert names - set(oracle.oracle_sql()) == {"pair_diff", "diff_markup", "run_metrics", "runtime_comparison", "inspect_pairs"}
 
 
