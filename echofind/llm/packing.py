@@ -11,6 +11,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from echofind.llm.common import written
+
 #: Histogram cells at most: exact below ``EXACT``, above it cells widen by about 1/256 of the length.
 EXACT = 1024
 STEPS = 256
@@ -88,15 +90,16 @@ def pack(docs: DataFrame, length: Column, budget: int = 16_384, buckets: int = 1
     new ones are replaced.
     """
     new = ("length", "bucket", "boundary", "batch", "slot", "padding")
-    sized = docs.drop(*new).withColumn("length", F.coalesce(length, F.lit(0)).cast("long"))
-    tops = plan(docs, length, buckets)
+    # Lengths are measured once; every later pass reads what is written here.
+    sized = written(docs.withColumn("length", F.coalesce(length, F.lit(0)).cast("long")).select(*(c for c in docs.columns if c not in new), "length"))
+    tops = plan(sized, F.col("length"), buckets)
     if not tops:
         return sized.withColumns({"bucket": F.lit(0), "boundary": F.lit(0).cast("long"), "batch": F.lit(0).cast("long"), "slot": F.lit(0).cast("long"), "padding": F.lit(0).cast("long")})
     top = F.array(*(F.lit(t).cast("long") for t in tops))
     bucket = F.size(F.filter(top, lambda t: t < F.col("length"))).cast("int")
     placed = sized.withColumn("bucket", bucket).withColumn("boundary", F.get(top, F.col("bucket")))
     # A bucket may hold most rows, so it is numbered in shards; the shards' counts give each its offset.
-    total = placed.count()
+    total = sized.count()
     shards = max(1, -(-total // shard_rows))
     placed = placed.withColumn("_shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
     sizes = placed.groupBy("bucket", "_shard").agg(F.count("*").alias("_n"))
