@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from echofind.llm.common import BASE, byte_codes, powers, slices
 
 Q = 12
-#: Edits allowed for each character of the benchmark text. Below (1 - (q-1)/m) / q the bound stays positive.
+#: Edits allowed for each character of a benchmark text, fewer where the lemma would ask for no shared q-gram.
 EDIT_RATE = 0.05
 #: Bytes of benchmark text that are searched for in one pass over the documents; more go in further passes.
 BLOCK_BYTES = 8 << 20
@@ -33,12 +33,17 @@ def normal(text: str | None) -> str:
     return _SPACES.sub(" ", text or "").strip(" ").lower()
 
 
-def budget(m: int, q: int = Q, rate: float = EDIT_RATE) -> tuple[int, int]:
-    """Edits allowed for a text of ``m`` characters and the q-grams that must then be shared (at least one)."""
-    k = int(m * rate)
-    while k and m - q + 1 - k * q < 1:
+def budget(text: str, q: int = Q, rate: float = EDIT_RATE) -> tuple[int, int]:
+    """Edits allowed for a normalised text and the q-grams of bytes that must then be shared (at least one).
+
+    An edit takes at most q grams with it, and more by the further bytes of the character that it changes.
+    """
+    size = len(text.encode())
+    each = q + max((len(c.encode()) - 1 for c in text), default=0)
+    k = int(len(text) * rate)
+    while k and size - q + 1 - k * each < 1:
         k -= 1
-    return k, max(1, m - q + 1 - k * q)
+    return k, max(1, size - q + 1 - k * each)
 
 
 def grams(data: np.ndarray, q: int = Q) -> np.ndarray:
@@ -88,10 +93,10 @@ class Items:
 
     def __init__(self, rows: list[tuple[int, str]], q: int, rate: float) -> None:
         self.ids, self.texts = [r[0] for r in rows], [normal(r[1]) for r in rows]
-        self.budgets = [budget(len(t), q, rate) for t in self.texts]
+        self.budgets = [budget(t, q, rate) for t in self.texts]
         parts, items, places = [], [], []
         for i, t in enumerate(self.texts):
-            # Offsets count bytes here; a character outside ASCII widens the band through ``slack``.
+            # Offsets count bytes here.
             h = grams(np.frombuffer(t.encode(), np.uint8), q)
             parts.append(h), items.append(np.full(len(h), i)), places.append(np.arange(len(h)))
         h = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
