@@ -7,7 +7,7 @@ equal then are exactly the repeated windows. The passes:
    fixed hash (leftmost on ties). Equal windows have equal anchors. Anchors found in
    one document only hold no repeated window; all their suffixes are dropped here.
 2. Windows of the remaining anchors meet by anchor, in one context for each anchor (the
-   bytes around it). They are sorted by anchor and place, then eight bytes at a time;
+   bytes around it). They are sorted by the anchor's place, then four bytes at a time;
    singletons are dropped after every pass. An anchor of very many blocks is dealt
    out by whole windows instead.
 3. Each block of documents learns which of its windows also start in a document of
@@ -42,6 +42,8 @@ BLOCK_BYTES = 2 << 20
 HOT_BLOCKS = 256
 #: Anchors that one task of the first pass sorts.
 ANCHORS_PER_TASK = 2_000_000
+#: Tasks of the second pass for each of the first: a context weighs more than an anchor.
+FINER = 4
 
 BLOCK = "block long, ids binary, sizes binary, data binary"
 
@@ -53,7 +55,7 @@ def to_blocks(block_bytes: int):
             rows = []
             for a, b in slices(encoded, block_bytes):
                 ids, sizes = batch["doc_id"].to_numpy(np.int64)[a:b], np.array([len(e) for e in encoded[a:b]], np.int64)
-                data = zstandard.ZstdCompressor(level=1).compress(b"".join(encoded[a:b]))
+                data = zstandard.ZstdCompressor(level=3).compress(b"".join(encoded[a:b]))
                 rows.append((uuid.uuid4().int >> 65, ids.tobytes(), sizes.tobytes(), data))
             yield pd.DataFrame(rows, columns=["block", "ids", "sizes", "data"])
 
@@ -62,9 +64,8 @@ def to_blocks(block_bytes: int):
 
 def _rolled(codes: np.ndarray, width: int) -> np.ndarray:
     """Polynomial hashes of ``width`` codes from each place on, by doubling."""
-    out, size, power, base = None, 0, codes, 1
-    step, factor = 1, np.uint64(BASE)
-    # ``power`` holds hashes of ``step`` codes; ``factor`` is BASE**step.
+    out, size, power = None, 0, codes
+    step = 1  # ``power`` holds hashes of ``step`` codes
     while True:
         if width & step:
             if out is None:
@@ -76,8 +77,7 @@ def _rolled(codes: np.ndarray, width: int) -> np.ndarray:
         if size == width:
             return out
         n = len(power) - step
-        power = power[:n] * factor + power[step : step + n]
-        factor = factor * factor
+        power = power[:n] * _power(step) + power[step : step + n]
         step *= 2
 
 
@@ -151,7 +151,7 @@ class Block:
         low = np.full(len(first), np.iinfo(np.int64).max)
         np.minimum.at(low, of, self.ids[doc])
         route = np.where(hot, mix(name ^ key) if len(rows) else key, key)[first]
-        return {"rows": rows[first, : WIDE + 2], "key": key[first], "low": low, "route": route, "of": of, "start": start, "count": count, "doc": doc}
+        return {"rows": rows[first, : WIDE + 2], "low": low, "route": route, "of": of, "start": start, "count": count, "doc": doc}
 
 
 def _by_bucket(names: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -228,53 +228,58 @@ def _contexts(row, buckets: int) -> tuple[Block, dict[str, np.ndarray]]:
     return block, block.contexts(keep, hot)
 
 
-def emit_contexts(buckets: int):
+def _zipped(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+
+
+def _unzipped(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
+def _used(counts: np.ndarray) -> np.ndarray:
+    """The cells of each context that its windows reach."""
+    return np.arange(WIDE) < (counts.astype(np.int64) + DEPTH - 1)[:, None]
+
+
+def emit_contexts(buckets: int, parts: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
                 _, c = _contexts(row, buckets)
-                rows = [
-                    (row.block, i, c["rows"][at].tobytes(), c["key"][at].tobytes(), c["low"][at].tobytes(), at.astype(np.int32).tobytes())
-                    for i, at in _by_bucket(c["route"], buckets)
-                ]
+                rows = []
+                for i, at in _by_bucket(c["route"], parts):
+                    part = c["rows"][at]
+                    text = part[:, :WIDE][_used(part[:, WIDE + 1])]
+                    rows.append((row.block, i, _zipped(text), _zipped(part[:, WIDE:].T), _zipped(c["low"][at]), _zipped(at.astype(np.int32))))
                 if rows:
-                    yield pd.DataFrame(rows, columns=["block", "bucket", "rows", "keys", "lows", "refs"])
+                    yield pd.DataFrame(rows, columns=["block", "bucket", "texts", "places", "lows", "refs"])
 
     return run
 
 
-def equal_windows(rows: np.ndarray, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def equal_windows(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Groups of equal windows among contexts: (context, window in it, group) of every window that has an equal."""
     count = rows[:, WIDE + 1].astype(np.int64)
     context = np.repeat(np.arange(len(rows)), count)
     window = np.arange(len(context)) - np.repeat(np.cumsum(count) - count, count)
     flat = np.ascontiguousarray(rows[:, :WIDE]).reshape(-1)
-    flat = np.concatenate([flat, np.zeros(8, np.uint8)])
-    digits = np.ndarray((len(flat) - 7,), ">u8", flat, strides=(1,))
+    digits = np.ndarray((len(flat) - 3,), ">u4", flat, strides=(1,))
     # Equal windows have their anchor at the same place.
-    _, group = np.unique(keys, return_inverse=True)
-    group = group[context] * np.int64(SPAN) + (rows[context, WIDE].astype(np.int64) - window)
+    group = (rows[context, WIDE].astype(np.int64) - window).astype(np.uint64)
     base = context * WIDE + window
-
-    def several(group: np.ndarray, digit: np.ndarray | None, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(group, kind="stable") if digit is None else np.lexsort((digit, group))
-        g = group[order]
-        new = np.concatenate([[True], g[1:] != g[:-1]])
-        if digit is not None:
-            d = digit[order]
-            new[1:] |= d[1:] != d[:-1]
-        start = np.flatnonzero(new)
-        size = np.diff(np.append(start, len(g)))
-        alive = np.repeat(size > 1, size)
-        return live[order][alive], np.repeat(np.arange(len(start)), size)[alive]
-
     live = np.arange(len(context))
-    if len(live):
-        live, group = several(group, None, live)
-    for byte in (*range(0, DEPTH - 8, 8), DEPTH - 8):
+    for byte in (*range(0, DEPTH - 4, 4), DEPTH - 4):
         if not len(live):
             return
-        live, group = several(group, digits[base[live] + byte].astype(np.uint64), live)
+        # A group has a dense number below 2**32, so one sort orders by group, then digit.
+        key = group << np.uint64(32) | digits[base[live] + byte].astype(np.uint64)
+        order = np.argsort(key)
+        key = key[order]
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(start, len(key)))
+        alive = np.repeat(size > 1, size)
+        live = live[order][alive]
+        group = np.repeat(np.arange(int((size > 1).sum()), dtype=np.uint64), size[size > 1])
     if len(live):
         yield context[live], window[live], group
 
@@ -287,11 +292,16 @@ def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             held.setdefault(row.bucket, []).append(row)
     while held:
         _, parts = held.popitem()
-        sizes = [len(p.refs) // 4 for p in parts]
-        rows = np.concatenate([np.frombuffer(p.rows, np.uint8).reshape(-1, WIDE + 2) for p in parts])
-        keys, lows, refs = (np.concatenate([np.frombuffer(getattr(p, c), t) for p in parts]) for c, t in (("keys", np.uint64), ("lows", np.int64), ("refs", np.int32)))
+        lows, refs = (np.concatenate([_unzipped(getattr(p, c), t) for p in parts]) for c, t in (("lows", np.int64), ("refs", np.int32)))
+        places = [_unzipped(p.places, np.uint8).reshape(2, -1).T for p in parts]
+        sizes = [len(p) for p in places]
+        rows = np.zeros((len(lows), WIDE + 2), np.uint8)
+        rows[:, WIDE:] = np.concatenate(places)
+        cells = np.zeros((len(lows), WIDE), np.uint8)
+        cells[_used(rows[:, WIDE + 1])] = np.concatenate([_unzipped(p.texts, np.uint8) for p in parts])
+        rows[:, :WIDE] = cells
         bits = np.zeros(len(rows), np.uint32)
-        for context, window, group in equal_windows(rows, keys):
+        for context, window, group in equal_windows(rows):
             start = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
             low = np.minimum.reduceat(lows[context], start)
             later = lows[context] > np.repeat(low, np.diff(np.append(start, len(group))))
@@ -350,8 +360,8 @@ def deduplicate(docs: DataFrame, keep_text: bool = True, block_bytes: int = BLOC
     shared = names.repartition(buckets, "bucket").mapInPandas(shared_names(hot_blocks), "block long, bucket int, names binary, hot binary")
     lists = shared.groupBy("block").agg(F.collect_list(F.struct("bucket", "names", "hot")).alias("shared"))
     joined = written(blocks.join(lists, "block", "left"))
-    contexts = joined.mapInPandas(emit_contexts(buckets), "block long, bucket int, rows binary, keys binary, lows binary, refs binary")
-    judged = contexts.repartition(buckets, "bucket").mapInPandas(judge, "block long, refs binary, bits binary")
+    contexts = joined.mapInPandas(emit_contexts(buckets, FINER * buckets), "block long, bucket int, texts binary, places binary, lows binary, refs binary")
+    judged = contexts.repartition(FINER * buckets, "bucket").mapInPandas(judge, "block long, refs binary, bits binary")
     verdicts = judged.groupBy("block").agg(F.collect_list(F.struct("refs", "bits")).alias("judged"))
     done = joined.join(verdicts, "block", "left").mapInPandas(remove(buckets, keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return done if keep_text else done.drop("kept")
