@@ -17,7 +17,7 @@ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 k AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL),
 l AS MATERIALIZED (SELECT a, b FROM k JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)),
 pairs AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
-reach AS (SELECT a AS node, b AS other FROM both UNION SELECT reach.node, both.b FROM reach JOIN both ON both.a = reach.other)
+reach AS (SELECT a AS node, b AS other FROM pairs UNION SELECT reach.node, pairs.b FROM reach JOIN pairs ON pairs.a = reach.other)
 SELECT d.doc_id, coalesce(n.n, 0)::bigint AS n_shingles, least(d.doc_id, coalesce(r.low, d.doc_id)) AS component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT node, min(other) AS low FROM reach GROUP BY node) r ON r.node = d.doc_id""",
 }
