@@ -1,7 +1,7 @@
 """Secrets in texts, with multipart credentials linked from their parts.
 
 Strong patterns are reported alone. A weak candidate (a long random-looking string,
-a short assigned value) says little by itself: it is reported only where an
+an assigned value) says little by itself: it is reported only where an
 identifier and an endpoint lie in its scope, the interval of ``scope`` code points
 around it. Built-in functions only; the interval join runs inside each row.
 """
@@ -22,29 +22,40 @@ HEX = r"[0-9a-f]{16,}+"
 PRIVATE_KEY = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
 JWT = r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"
 PROVIDER = r"(?<![A-Za-z0-9_-])(?:gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|sk_live_[A-Za-z0-9]{16,}+|AIza[A-Za-z0-9_-]{35})"
-IDENTIFIER = r"(?i)(?<![A-Za-z0-9])(?:client_?id|access_?key_?id|account|login|user(?:name)?)[\"']?\x20*+[:=]\x20*+[\"']?([A-Za-z0-9@._-]{3,}+)"
-ENDPOINT = r"(?i)(?:(?:https?|ftp|jdbc:[a-z]{2,12}|postgres(?:ql)?|mysql|redis|amqp)://[^\s\"'<>]{3,}+|(?<![A-Za-z0-9])(?:host|endpoint|server)[\"']?\x20*+[:=]\x20*+[\"']?[A-Za-z0-9.-]{3,}+)"
-WEAK_STRING = r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/]{0,63}[0-9])(?=[A-Za-z0-9+/]{0,63}[A-Z])(?=[A-Za-z0-9+/]{0,63}[a-z])[A-Za-z0-9+/]{20,64}={0,2}(?![A-Za-z0-9+/=_-])"
-WEAK_ASSIGN = r"(?i)(?<![A-Za-z0-9])(?:pwd|pass|password|passwd|secret|token|key)[\"']?\x20*+[:=]\x20*+[\"']?([^\s\"',;]{6,11})(?![^\s\"',;])"
+IDENTIFIER = r"(?i)(?<![A-Za-z0-9])(?:client_?id|access_?key_?id|(?:shared_?)?access_?key_?name|account(?:_?name)?|login|uid|user(?:_?name|[_\x20]?id)?)[\"']?\x20*+[:=]\x20*+[\"']?([A-Za-z0-9@._-]{3,}+)"
+ENDPOINT = r"(?i)(?:(?:https?|ftp|jdbc:[a-z]{2,12}|postgres(?:ql)?|mysql|redis|amqp|sb)://[^\s\"'<>]{3,}+|(?<![A-Za-z0-9])(?:host(?:_?name)?|endpoint(?:_?suffix)?|server|data\x20source)[\"']?\x20*+[:=]\x20*+[\"']?[A-Za-z0-9.-]{3,}+)"
+# Each lookahead passes over the other characters of the run, so a run is read once for each of them, however long it is.
+WEAK_STRING = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/]*+[0-9])(?=[a-z0-9+/]*+[A-Z])(?=[A-Z0-9+/]*+[a-z])[A-Za-z0-9+/]{20,}+={0,2}+(?![A-Za-z0-9+/=_-])"
+WEAK_NAME = r"(?i:password|passwd|pwd|secret|token|(?:api|access|account|secret|private|shared)_?key)|(?<![A-Za-z0-9])(?i:pass|key)|(?<=[a-z0-9])(?:Pass|Key)"
+# A quoted value runs to its closing quote, any other to a space or separator.
+WEAK_ASSIGN = rf"(?:{WEAK_NAME})[\"']?\x20*+[:=]\x20*+[\"']?((?<=\")[^\"\r\n]{{6,}}+(?=\")|(?<=')[^'\r\n]{{6,}}+(?=')|[^\s\"',;]{{6,}}+)"
 
 
 def _near(parts: Column, scope: int, span: Column) -> Column:
     return F.exists(parts, lambda p: (p["end"] > span["start"] - scope) & (p["start"] < span["end"] + scope))
 
 
+def _outside(spans: Column, others: Column) -> Column:
+    """The spans that no single one of ``others`` covers."""
+    return F.filter(spans, lambda s: ~F.exists(others, lambda o: (o["start"] <= s["start"]) & (o["end"] >= s["end"])))
+
+
 def secret_spans(text: Column, scope: int = 400) -> Column:
     """Spans by start, then kind. Base spans stay as they are; linked parts are added beside them."""
 
-    def link(p: Column) -> Column:
-        weak = F.filter(p["weak"], lambda s: _near(p["ids"], scope, s) & _near(p["ends"], scope, s))
+    def candidates(p: Column) -> Column:
+        strings, assigned = (F.filter(p[k], lambda s: _near(p["ids"], scope, s) & _near(p["ends"], scope, s)) for k in ("strings", "assigned"))
+        # What a strong pattern reports whole is no candidate by its name again; a string inside a named value is part of it.
+        return bound(_outside(assigned, p["sure"]), lambda a: F.concat(_outside(strings, a), a))
 
+    def link(p: Column) -> Column:
         def reported(w: Column) -> Column:
             ids = F.filter(p["named"], lambda s: _near(w, scope, s))
             ends = F.filter(p["ends"], lambda s: _near(w, scope, s))
             return by_start(F.concat(p["sure"], w, ids, ends), KINDS)
 
         # Without a weak candidate in scope no part is reported.
-        return bound(weak, reported)
+        return bound(candidates(p), reported)
 
     access = matches(text, "access", ACCESS)
     sure = [matches(text, "assign", ASSIGN, lambda v: F.length(v) >= 12, group=2), access, matches(text, "hex", HEX)]
@@ -52,7 +63,7 @@ def secret_spans(text: Column, scope: int = 400) -> Column:
     named = matches(text, "linked_id", IDENTIFIER, score=0.5)
     parts = F.struct(
         F.concat(*sure).alias("sure"),
-        F.concat(matches(text, "linked_secret", WEAK_STRING, score=0.5), matches(text, "linked_secret", WEAK_ASSIGN, score=0.5)).alias("weak"),
+        matches(text, "linked_secret", WEAK_STRING, score=0.5).alias("strings"), matches(text, "linked_secret", WEAK_ASSIGN, score=0.5, group=1).alias("assigned"),
         F.concat(access, named).alias("ids"), named.alias("named"), matches(text, "linked_endpoint", ENDPOINT, score=0.5).alias("ends"),
     )
     return bound(parts, link)
