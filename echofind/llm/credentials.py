@@ -19,7 +19,11 @@ ASSIGN = r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*+[:=]\x20*+[\"
 # Runs shorter than the least length can only fail, wherever inside them a match begins.
 ACCESS = r"AKIA[A-Z0-9]{14,}+"
 HEX = r"[0-9a-f]{16,}+"
-PRIVATE_KEY = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
+# From BEGIN to the END line of the same label; where that is missing, over the header and key-like lines that follow.
+_GAP = r"(?:[\s>#*\"'|]|\\[rnt])"
+_HEADER = rf"(?:{_GAP}*+(?:Proc-Type|DEK-Info|Version|Comment|Charset|Hash|MessageID):[^\r\n\\]*+)*+"
+_LINES = rf"(?:{_GAP}++[A-Za-z0-9+/]{{16,}}+={{0,2}}+)*+(?:{_GAP}++=?[A-Za-z0-9+/]++={{0,2}}+(?=[\x20\t\"']*+(?:[\r\n]|\\[rn]|\z)))?"
+PRIVATE_KEY = rf"-----BEGIN ([A-Z0-9 ]{{0,30}}PRIVATE KEY(?: BLOCK)?)-----(?:(?:[^-]++|-(?!----(?:BEGIN|END)\x20))*+-----END \1-----|{_HEADER}{_LINES})"
 JWT = r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"
 PROVIDER = r"(?<![A-Za-z0-9_-])(?:gh[pousr]_[A-Za-z0-9]{36,}+|xox[abprs]-[A-Za-z0-9-]{10,}+|sk_live_[A-Za-z0-9]{16,}+|AIza[A-Za-z0-9_-]{35})"
 IDENTIFIER = r"(?i)(?<![A-Za-z0-9])(?:client_?id|access_?key_?id|(?:shared_?)?access_?key_?name|account(?:_?name)?|login|uid|user(?:_?name|[_\x20]?id)?)[\"']?\x20*+[:=]\x20*+[\"']?([A-Za-z0-9@._-]{3,}+)"
