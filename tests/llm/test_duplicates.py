@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from echofind.llm import chunk_dedup, jaccard_join, suffix_dedup
@@ -94,6 +96,49 @@ def test_keys_of_linked_sets_meet(band):
             assert len(np.intersect1d(*keys)), (len(a), len(b), common)
 
 
+def test_tiles_of_many_short_sets():
+    """The links of a tile pair against every pair of sets, in less memory than two of their matrices of 64-bit numbers."""
+    rng = np.random.default_rng(8)
+    count, base = 3_000, rng.integers(0, 1 << 63, (60, 16), dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[i % 60][: 16 - i % 3], rng.integers(0, 1 << 63, i % 5, dtype=np.uint64)])) for i in range(count)]
+    group = pd.DataFrame({"family": 1, "i": 0, "j": 1, "tile": np.arange(count) % 7 % 2, "node": np.arange(count), "n": [len(x) for x in sets], "shingles": [x.tobytes() for x in sets]})
+    tracemalloc.start()
+    forest = jaccard_join.tile_links(group)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * count**2
+
+    def joined(pairs):
+        label = list(range(count))
+
+        def root(x):
+            while label[x] != x:
+                x = label[x]
+            return x
+
+        for a, b in pairs:
+            x, y = root(a), root(b)
+            label[max(x, y)] = min(x, y)
+        return [root(x) for x in range(count)]
+
+    # Sets of different bases share nothing.
+    beside = [(a, b) for k in range(60) for a in range(k, count, 60) for b in range(a + 60, count, 60) if group["tile"][a] != group["tile"][b]]
+    linked = [(a, b) for a, b in beside if 180 * len(np.intersect1d(sets[a], sets[b])) >= 80 * (len(sets[a]) + len(sets[b]))]
+    assert 0 < len(linked) < len(beside)
+    assert joined(forest.itertuples(index=False)) == joined(linked)
+
+
+def test_families_are_cut_by_sets(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TILE_SETS", 20)
+    base = np.arange(1, 17, dtype=np.uint64)
+    rows = [(i, 16, bytearray(np.append(base[:15], np.uint64(100 + i)).tobytes())) for i in range(200)]
+    sets = spark.createDataFrame(rows, "node long, n long, shingles binary")
+    found = jaccard_join.family_links(sets, spark.createDataFrame([(i, 7) for i in range(200)], "node long, family long"))
+    assert {r["label"] for r in components(found).collect()} == {0}
+    # One forest for each pair of the ten tiles, so more links than one tree of 200 sets has.
+    assert found.count() > 199
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(200, 200)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
