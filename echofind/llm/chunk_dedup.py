@@ -1,8 +1,9 @@
 """Substring deduplication by content-defined chunks.
 
-A gear hash rolls over the bytes of a text; a chunk ends where its upper bits are
-zero, so boundaries depend on nearby bytes only and an insertion moves no
-boundary further on. Chunks are compared by digest: the first place of a digest, by
+A gear hash rolls over the bytes of a text; a chunk ends where the hash is the greatest
+within ``NEAR`` bytes, so a boundary depends on 48 bytes before and 16 after it only and
+an insertion moves no boundary further on. In a text that repeats a few bytes the
+greatest ones tie and each of them is a boundary, so its chunks are whole periods. Chunks are compared by digest: the first place of a digest, by
 document and offset, keeps its bytes, every later one is a duplicate.
 """
 
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 
 from echofind.llm.common import byte_codes, slices, written
 
-#: Chunks have LEAST to MOST bytes (the last of a text may be shorter) and end with chance 2**-MASK_BITS at each further byte.
-LEAST, MOST, MASK_BITS = 24, 512, 6
+#: Chunks have LEAST to MOST bytes (the last of a text may be shorter); those of prose have about 36.
+LEAST, MOST = 16, 512
+#: Bytes on each side over which the hash at a boundary is the greatest; a power of two.
+NEAR = 16
 SLICE_BYTES = 4 << 20
 CHUNKS = "doc_id long, start int, size int, high long, low long"
 
@@ -36,6 +39,20 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def marks(h: np.ndarray) -> np.ndarray:
+    """The ends that the hash proposes: after each byte whose hash no other within NEAR bytes exceeds."""
+    top, step = h.copy(), 1  # the greatest of NEAR hashes from here on
+    while step < NEAR:
+        top[:-step] = np.maximum(top[:-step], top[step:])
+        step *= 2
+    proposed = np.ones(len(h), bool)
+    proposed[:-1] = h[:-1] >= top[1:]
+    before = np.maximum.accumulate(h[:NEAR])
+    proposed[1 : len(before)] &= h[1 : len(before)] >= before[:-1]
+    proposed[NEAR:] &= h[NEAR:] >= top[:-NEAR]
+    return np.flatnonzero(proposed) + 1
+
+
 def cuts(size: int, marks: np.ndarray) -> list[int]:
     """Ends of the chunks of a text of ``size`` bytes; ``marks`` are the ends that the hash proposes."""
     out, at = [], 0
@@ -58,8 +75,7 @@ def text_chunks(texts: list[bytes]) -> Iterator[list[int]]:
     """The chunk ends of each text. A text's bytes before its own start never reach its hash."""
     for text in texts:
         data = np.frombuffer(text, np.uint8)
-        marks = np.flatnonzero(gear(data) >> np.uint32(32 - MASK_BITS) == 0) + 1
-        yield cuts(len(data), marks)
+        yield cuts(len(data), marks(gear(data)))
 
 
 def chunked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -210,6 +210,22 @@ def test_chunks(spark):
     assert rows[4]["n_removed"] > 0.8 * len(passage) and rows[7]["n_removed"] == len(passage) and rows[6]["n_removed"] == 5
 
 
+def test_chunks_of_short_passages():
+    """Passages of 51 words in different contexts share chunks, also those that repeat a word or one character."""
+    rng = random.Random(12)
+    passages = [" ".join(words(rng, 51, 10**4)) for _ in range(300)]
+    passages += [" ".join([w] * 51) for w in ("la,", "un", "die", "enchch", "eronon.", "x")] + ["z" * 200, "ab" * 100]
+    for passage in passages:
+        shared = []
+        for _ in range(2):
+            before, after = (" ".join(words(rng, rng.randrange(1, 60), 10**4)) for _ in range(2))
+            data = f"{before} {passage} {after}".encode()
+            at, end = len(before) + 1, len(before) + 1 + len(passage)
+            (ends,) = chunk_dedup.text_chunks([data])
+            shared.append({data[a:b]: b - a for a, b in zip([0, *ends[:-1]], ends, strict=True) if at <= a and b <= end})
+        assert set(shared[0]) & set(shared[1]), passage
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_join.jaccard_components(none).count() == 0
