@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echofind.llm import chunk_dedup, credentials, decontaminate, jaccard_join, nearest, packing, pii, suffix_dedup, token_count, toxicity
+from echofind.llm import (
+    chunk_dedup, credentials, decontaminate, grid_codes, jaccard_join, nearest, packing, pii, pivot_join, suffix_dedup, token_count, toxicity, whitening,
+)
 from echofind.llm.common import table
 
 
@@ -53,10 +55,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_grid_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_pii, op2_decontamination, op3_token_counts, op4_jaccard_join, op5_chunk_dedup,
         op6_nearest, op7_suffix_dedup, op8_packing, op9_secrets, op10_toxicity,
+        op11_whitening, op12_grid_codes, op13_simhash_pivots,
     )
 }
