@@ -6,7 +6,6 @@ import re
 import tracemalloc
 
 import numpy as np
-import pandas as pd
 import pytest
 
 from echofind.llm import chunk_dedup, jaccard_join, suffix_dedup
@@ -96,47 +95,97 @@ def test_keys_of_linked_sets_meet(band):
             assert len(np.intersect1d(*keys)), (len(a), len(b), common)
 
 
-def test_tiles_of_many_short_sets():
-    """The links of a tile pair against every pair of sets, in less memory than two of their matrices of 64-bit numbers."""
-    rng = np.random.default_rng(8)
-    count, base = 3_000, rng.integers(0, 1 << 63, (60, 16), dtype=np.uint64)
-    sets = [np.unique(np.concatenate([base[i % 60][: 16 - i % 3], rng.integers(0, 1 << 63, i % 5, dtype=np.uint64)])) for i in range(count)]
-    group = pd.DataFrame({"family": 1, "i": 0, "j": 1, "tile": np.arange(count) % 7 % 2, "node": np.arange(count), "n": [len(x) for x in sets], "shingles": [x.tobytes() for x in sets]})
+def joined(count, pairs):
+    label = list(range(count))
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for a, b in pairs:
+        x, y = root(a), root(b)
+        label[max(x, y)] = min(x, y)
+    return [root(x) for x in range(count)]
+
+
+def short_sets(count, seed=8):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 1 << 63, (60, 16), dtype=np.uint64)
+    return [np.unique(np.concatenate([base[i % 60][: 16 - i % 3], rng.integers(0, 1 << 63, i % 5, dtype=np.uint64)])) for i in range(count)]
+
+
+def plain_links(sets):
+    """Pairs that link; sets of different bases share nothing."""
+    beside = [(a, b) for k in range(60) for a in range(k, len(sets), 60) for b in range(a + 60, len(sets), 60)]
+    return [(a, b) for a, b in beside if 180 * len(np.intersect1d(sets[a], sets[b])) >= 80 * (len(sets[a]) + len(sets[b]))]
+
+
+def test_forest_of_many_short_sets():
+    """The forest of two tiles against every pair of sets, in memory linear in the sets; sketches connect no less."""
+    sets = short_sets(3_000)
+    order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
+    n = np.array([len(sets[i]) for i in order])
     tracemalloc.start()
-    forest = jaccard_join.tile_links(group)
+    found = jaccard_join.spanning(np.array(order), jaccard_join.Sets(n, [sets[i].tobytes() for i in order]))
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert peak < 16 * count**2
-
-    def joined(pairs):
-        label = list(range(count))
-
-        def root(x):
-            while label[x] != x:
-                x = label[x]
-            return x
-
-        for a, b in pairs:
-            x, y = root(a), root(b)
-            label[max(x, y)] = min(x, y)
-        return [root(x) for x in range(count)]
-
-    # Sets of different bases share nothing.
-    beside = [(a, b) for k in range(60) for a in range(k, count, 60) for b in range(a + 60, count, 60) if group["tile"][a] != group["tile"][b]]
-    linked = [(a, b) for a, b in beside if 180 * len(np.intersect1d(sets[a], sets[b])) >= 80 * (len(sets[a]) + len(sets[b]))]
-    assert 0 < len(linked) < len(beside)
-    assert joined(forest.itertuples(index=False)) == joined(linked)
-
-
-def test_families_are_cut_by_sets(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "TILE_SETS", 20)
-    base = np.arange(1, 17, dtype=np.uint64)
-    rows = [(i, 16, bytearray(np.append(base[:15], np.uint64(100 + i)).tobytes())) for i in range(200)]
-    sets = spark.createDataFrame(rows, "node long, n long, shingles binary")
-    found = jaccard_join.family_links(sets, spark.createDataFrame([(i, 7) for i in range(200)], "node long, family long"))
-    assert {r["label"] for r in components(found).collect()} == {0}
-    # One forest for each pair of the ten tiles, so more links than one tree of 200 sets has.
-    assert found.count() > 199
+    assert peak < 2_000 * len(sets)
+    want = plain_links(sets)
+    assert joined(len(sets), found) == joined(len(sets), want) and len(found) < len(want)
+    maybe = joined(len(sets), jaccard_join.spanning(np.array(order), jaccard_join.Sketches(n, [jaccard_join.sketch(sets[i]).tobytes() for i in order])))
+    assert all(maybe[a] == maybe[b] for a, b in want)
+
+
+def test_sketches_never_reject_a_link():
+    rng = np.random.default_rng(3)
+    for n in (4, 30, 60, 63, 64, 120, 130, 250, 500, 1100):
+        union = np.unique(rng.integers(0, 1 << 63, n + n // 8, dtype=np.uint64))
+        sets = sorted((np.sort(rng.choice(union, int(k), replace=False)) for k in rng.integers(max(1, n - n // 8), len(union) + 1, 30)), key=len)
+        size = np.array([len(s) for s in sets])
+        rough = jaccard_join.Sketches(size, [jaccard_join.sketch(s).tobytes() for s in sets])
+        exact = jaccard_join.Sets(size, [s.tobytes() for s in sets])
+        for i in range(len(sets)):
+            rows = np.arange(len(sets))
+            link = exact.near(i, rows)
+            assert link.tolist() == [180 * len(np.intersect1d(sets[i], s)) >= 80 * (len(sets[i]) + len(s)) for s in sets]
+            assert (rough.near(i, rows) | ~link).all()
+
+
+@pytest.mark.parametrize("tile", [2_000, 20])
+def test_tiles_of_families(spark, monkeypatch, tile):
+    """Families of several tiles, with sets that the hub does not link with, against every pair."""
+    monkeypatch.setattr(jaccard_join, "TILE_SETS", tile)
+    sets = short_sets(400)
+    rows = [(i % 60 % 2, i, len(s), bytearray(s.tobytes())) for i, s in enumerate(sets)]
+    held = jaccard_join.written(jaccard_join.tiled(spark.createDataFrame(rows, "family long, node long, n long, data binary")))
+    assert held.agg({"tiles": "max"}).first()[0] == max(1, 200 // tile)
+    found = jaccard_join.forest(held, jaccard_join.Sets)
+    assert joined(400, [tuple(r) for r in found.collect()]) == joined(400, plain_links(sets))
+
+
+def test_tiles_are_dealt_out_by_themselves(spark):
+    """Rows that are partitioned by family still move by the hash of family and tile."""
+    rows = spark.createDataFrame([(1, 1, 1, 1, 1, 0, bytearray(8))], "family long, node long, n long, hub long, tiles int, tile int, data binary")
+    plan = jaccard_join._dealt(rows.repartition("family"), jaccard_join.Sets, False, "family", "tile")._jdf.queryExecution().toString()
+    assert "hashpartitioning(deal" in plan
+
+
+def test_texts_of_one_id(spark):
+    """Two texts of one doc_id are two sets; a link with either counts."""
+    one, other = (" ".join(f"{k}{i}" for i in range(40)) for k in "ab")
+    rows = [(1, one), (1, other), (1, one), (2, one + " x"), (3, other + " y"), (4, "a b c")]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(2)
+    base = words(rng, 300_000, 10**6)
+    near = [*base[:-2], "x", "y"]
+    rows = [(3, " ".join(base)), (5, " ".join(near)), (7, " ".join(base[:1000])), (9, "z" * 3_000_000), (11, "z" * 3_000_000)]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(3, 3), (5, 3), (7, 7), (9, 9), (11, 9)]
 
 
 def test_components_of_chains_and_stars(spark):
