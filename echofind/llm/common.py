@@ -37,6 +37,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def private(df: DataFrame, *names: str) -> list[str]:
+    """Column names that begin like none of ``df``'s."""
+    lead = "_"
+    while any(c.lower().startswith(lead) for c in df.columns):
+        lead += "_"
+    return [lead + name for name in names]
+
+
 def powers(n: int, base: int = BASE) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     out = np.full(max(n, 1), base, np.uint64)

@@ -1,8 +1,9 @@
 """Packing of sequences into padded batches with optimal length buckets.
 
-The histogram of all lengths is the only thing gathered. Dynamic programming over it
-chooses the bucket boundaries that minimise padding; inside a bucket, rows are
-numbered across all tasks and every ``budget // boundary`` of them form a batch.
+The histogram of all lengths up to the token budget is the only thing gathered. Dynamic
+programming over it chooses the bucket boundaries that minimise padding; inside a bucket, rows are
+numbered across all tasks and every ``budget // boundary`` of them form a batch. A row
+longer than the budget is a batch by itself and needs no padding, so it has no part in the choice.
 """
 
 from __future__ import annotations
@@ -11,11 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from echofind.llm.common import written
-
-#: Histogram cells at most: exact below ``EXACT``, above it cells widen by about 1/256 of the length.
-EXACT = 1024
-STEPS = 256
+from echofind.llm.common import private, written
 
 
 def word_length(text: Column) -> Column:
@@ -23,13 +20,6 @@ def word_length(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]++")), F.lit(0))
 
 
-def cell(length: Column) -> Column:
-    """The histogram cell of a length, named by its largest member, so that a boundary never cuts a row."""
-    power = F.floor(F.log2(length.cast("double"))).cast("int")
-    width = F.greatest(F.lit(1), (F.pow(F.lit(2.0), power) / STEPS).cast("long"))
-    return F.when(length <= EXACT, length.cast("long")).otherwise(F.ceil(length / width) * width).cast("long")
-
-
 def boundaries(lengths: np.ndarray, counts: np.ndarray, totals: np.ndarray, buckets: int) -> list[int]:
     """Upper lengths of at most ``buckets`` buckets with the least padding.
 
@@ -72,42 +62,40 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, totals: np.ndarray, buck
     return out[::-1]
 
 
-def plan(docs: DataFrame, length: Column, buckets: int) -> list[int]:
-    """Bucket boundaries for all rows. The driver gets one row for each histogram cell: fewer than EXACT + 53 * STEPS."""
-    sized = docs.select(F.coalesce(length, F.lit(0)).cast("long").alias("n"))
-    rows = sized.groupBy(cell(F.col("n")).alias("cell")).agg(F.count("*").alias("c"), F.sum("n").alias("s")).orderBy("cell").collect()
-    table = np.array([(r["cell"], r["c"], r["s"]) for r in rows], np.float64).reshape(-1, 3)
-    return boundaries(table[:, 0].astype(np.int64), table[:, 1], table[:, 2], buckets)
+def plan(docs: DataFrame, length: Column, buckets: int, budget: int) -> list[int]:
+    """Bucket boundaries for all rows that fit the budget. The driver gets one row for each length: ``budget`` + 1 at most."""
+    sized = docs.select(F.coalesce(length, F.lit(0)).cast("long").alias("n")).filter(F.col("n") <= budget)
+    rows = sized.groupBy("n").agg(F.count("*").alias("c")).orderBy("n").collect()
+    table = np.array([(r["n"], r["c"]) for r in rows], np.int64).reshape(-1, 2)
+    return boundaries(table[:, 0], table[:, 1], table[:, 0] * table[:, 1], buckets)
 
 
 def pack(docs: DataFrame, length: Column, budget: int = 16_384, buckets: int = 16, shard_rows: int = 50_000) -> DataFrame:
     """Each row of ``docs`` with ``length``, ``bucket``, ``boundary``, ``batch``, ``slot`` and ``padding``.
 
-    A batch is named by (bucket, batch) and holds ``max(1, budget // boundary)`` rows, the last
-    of a bucket fewer. No row is cut or left out: one longer than the budget is a batch by
-    itself, an empty or null text has length 0. ``doc_id`` orders the rows, ties and
+    A batch is named by (bucket, batch) and holds ``budget // boundary`` rows, the last
+    of a bucket fewer. No row is cut or left out: those longer than the budget are in the last bucket, each a batch by
+    itself with its own length as boundary. An empty or null text has length 0. ``doc_id`` orders the rows, ties and
     repeated rows follow in any order. An empty table stays empty. Columns named like the
-    new ones are replaced.
+    new ones are replaced; any other name is free.
     """
     new = ("length", "bucket", "boundary", "batch", "slot", "padding")
     # Lengths are measured once; every later pass reads what is written here.
     sized = written(docs.withColumn("length", F.coalesce(length, F.lit(0)).cast("long")).select(*(c for c in docs.columns if c not in new), "length"))
-    tops = plan(sized, F.col("length"), buckets)
-    if not tops:
-        return sized.withColumns({"bucket": F.lit(0), "boundary": F.lit(0).cast("long"), "batch": F.lit(0).cast("long"), "slot": F.lit(0).cast("long"), "padding": F.lit(0).cast("long")})
-    top = F.array(*(F.lit(t).cast("long") for t in tops))
+    tops = plan(sized, F.col("length"), buckets, budget)
+    top = F.array(*(F.lit(t).cast("long") for t in tops)) if tops else F.array().cast("array<long>")
     bucket = F.size(F.filter(top, lambda t: t < F.col("length"))).cast("int")
-    placed = sized.withColumn("bucket", bucket).withColumn("boundary", F.get(top, F.col("bucket")))
+    placed = sized.withColumn("bucket", bucket).withColumn("boundary", F.coalesce(F.get(top, F.col("bucket")), F.col("length")))
     # A bucket may hold most rows, so it is numbered in shards; the shards' counts give each its offset.
-    total = sized.count()
-    shards = max(1, -(-total // shard_rows))
-    placed = placed.withColumn("_shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
-    sizes = placed.groupBy("bucket", "_shard").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("bucket").orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("bucket", "_shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    here = Window.partitionBy("bucket", "_shard").orderBy("doc_id", "length")
-    numbered = placed.withColumn("_at", F.row_number().over(here)).join(offsets, ["bucket", "_shard"])
-    place = F.col("_offset") + F.col("_at") - 1
+    shard, at, count, offset = private(sized, "shard", "at", "count", "offset")
+    shards = max(1, -(-sized.count() // shard_rows))
+    placed = placed.withColumn(shard, F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
+    sizes = placed.groupBy("bucket", shard).agg(F.count("*").alias(count))
+    before = Window.partitionBy("bucket").orderBy(shard).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("bucket", shard, F.coalesce(F.sum(count).over(before), F.lit(0)).alias(offset))
+    here = Window.partitionBy("bucket", shard).orderBy("doc_id", "length")
+    numbered = placed.withColumn(at, F.row_number().over(here)).join(offsets, ["bucket", shard])
+    place = F.col(offset) + F.col(at) - 1
     capacity = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(F.lit(1), F.col("boundary")))).cast("long")
     return numbered.withColumns(
         {"batch": F.floor(place / capacity).cast("long"), "slot": (place % capacity).cast("long"), "padding": F.col("boundary") - F.col("length")}

@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-#: Fragments remembered by one worker before it starts anew.
-MEMO_ENTRIES = 1_000_000
+#: Bytes that a worker's remembered fragments take before it starts anew, and the longest that it remembers.
+MEMO_BYTES, MEMO_CHARS = 128 << 20, 64
 
 
 def merge_count(text: str, ranks: dict[str, int]) -> tuple[int, list[str]]:
@@ -66,20 +66,24 @@ def merge_count(text: str, ranks: dict[str, int]) -> tuple[int, list[str]]:
 
 
 class Fragments(dict):
-    """Fragment -> token count, filled on demand, emptied when it has grown to ``MEMO_ENTRIES``.
+    """Fragment -> token count, filled on demand, emptied when it has grown to ``MEMO_BYTES``.
 
     Two neighbouring characters that stand beside each other in no piece can never be
-    merged across. A fragment is cut there at line ends and before its last
-    character (often a punctuation mark), so that one entry serves several fragments.
+    merged across. A fragment is cut at all such places in one pass, so one entry serves
+    several fragments and long unbroken texts fall into short ones. What stays longer than ``MEMO_CHARS`` is
+    counted each time.
     """
 
     def __init__(self, ranks: dict[str, int]) -> None:
         super().__init__()
         self.ranks = ranks
         self.inner = {p[i : i + 2] for p in ranks for i in range(len(p) - 1)}
-        self.lines = not any("\n" in pair for pair in self.inner)
+        self.held = 0
 
     def part(self, text: str) -> int:
+        """The tokens of a fragment that cannot be cut."""
+        if len(text) == 1:
+            return 1 if text in self.ranks else len(text.encode())
         merges, left = merge_count(text, self.ranks)
         count = len(text) - merges
         for s in left:
@@ -87,18 +91,27 @@ class Fragments(dict):
                 count += len(s.encode()) - 1
         return count
 
+    def keep(self, text: str, count: int) -> int:
+        if len(text) <= MEMO_CHARS:
+            self.held += 150 + 4 * len(text)
+            if self.held > MEMO_BYTES:
+                self.clear()
+                self.held = 0
+            self[text] = count
+        return count
+
     def __missing__(self, text: str) -> int:
-        if len(self) >= MEMO_ENTRIES:
-            self.clear()
-        if self.lines and "\n" in text and len(text) > 1:
-            parts = text.split("\n")
-            total = (len(parts) - 1) * self.part("\n") + sum(self[p] for p in parts if p)
-        elif len(text) > 2 and text[-2:] not in self.inner:
-            total = self[text[:-1]] + self.part(text[-1])
-        else:
-            total = self.part(text)
-        self[text] = total
-        return total
+        inner = self.inner
+        ends = [i for i in range(1, len(text)) if text[i - 1 : i + 1] not in inner]
+        if not ends:
+            return self.keep(text, self.part(text))
+        total = start = 0
+        for end in (*ends, len(text)):
+            fragment = text[start:end]
+            found = self.get(fragment)
+            total += self.keep(fragment, self.part(fragment)) if found is None else found
+            start = end
+        return self.keep(text, total)
 
     def count(self, text: str | None) -> int:
         if not text:

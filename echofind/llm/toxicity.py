@@ -20,12 +20,14 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from echofind.llm.common import written
+from echofind.llm.common import private, written
 
 #: Labelled rows a model is fitted on at most, chosen by a hash of the id.
 MAX_LABELLED = 16_000
 #: Lexicon entries at most, strongest first.
 MAX_LEXICON = 2_000
+#: Words remembered by one task before it starts anew.
+MEMO_WORDS = 200_000
 STEMS = (4, 5, 6)
 FEATURES = (
     "log_words", "density", "log_hits", "mean_odds", "max_odds", "near_second_person",
@@ -69,7 +71,7 @@ def learn_lexicon(labelled: DataFrame, least: int = 5, odds: float = 2.0) -> dic
 
 
 class _Words(dict):
-    """Word as it stands -> (log odds, second person, shouted, obfuscated); emptied at a million words."""
+    """Word as it stands -> (log odds, second person, shouted, obfuscated); emptied at ``MEMO_WORDS``."""
 
     def __init__(self, lexicon: dict[str, float]) -> None:
         super().__init__()
@@ -81,7 +83,7 @@ class _Words(dict):
         return max(known)
 
     def __missing__(self, raw: str):
-        if len(self) >= 1_000_000:
+        if len(self) >= MEMO_WORDS:
             self.clear()
         word = raw.strip(EDGES)
         low = word.lower()
@@ -131,9 +133,11 @@ def features(text: Column, lexicon: dict[str, float]) -> Column:
     return computed(text)
 
 
-def _assembled(df: DataFrame, lexicon: dict[str, float]) -> DataFrame:
-    df = df.withColumn("_f", features(F.col("text"), lexicon)).select("*", *(F.col(f"_f.{n}").alias(f"_f_{n}") for n in FEATURES)).drop("_f")
-    return VectorAssembler(inputCols=[f"_f_{n}" for n in FEATURES], outputCol="_features").transform(df).drop(*(f"_f_{n}" for n in FEATURES))
+def _assembled(df: DataFrame, lexicon: dict[str, float], vector: str) -> DataFrame:
+    """``df`` with its features as one ``vector``."""
+    (held, *names) = private(df, "struct", *FEATURES)
+    df = df.withColumn(held, features(F.col("text"), lexicon)).select("*", *(F.col(held)[n].alias(c) for n, c in zip(FEATURES, names, strict=True)))
+    return VectorAssembler(inputCols=names, outputCol=vector).transform(df).drop(held, *names)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, seed: int = 11) -> Toxicity:
@@ -150,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, se
         return Toxicity({}, None, ())
     lexicon = learn_lexicon(train)
     # The sample is bounded, so a few tasks hold its features; the trees run many jobs over them.
-    ready = written(_assembled(sample, lexicon).select("_features", F.col("toxic").cast("double").alias("label"), "fold").coalesce(4)).coalesce(4).cache()
+    ready = written(_assembled(sample, lexicon, "_features").select("_features", F.col("toxic").cast("double").alias("label"), "fold").coalesce(4)).coalesce(4).cache()
     trees = GBTClassifier(featuresCol="_features", labelCol="label", maxIter=20, maxDepth=3, stepSize=0.3, maxBins=32, seed=seed).fit(ready.filter("fold > 0"))
     raw = trees.transform(ready.filter("fold = 0")).select(vector_to_array("probability")[1].alias("raw"), "label")
     steps: tuple[tuple[float, float], ...] = ((0.0, 0.0), (1.0, 1.0))
@@ -175,11 +179,14 @@ def calibrated(raw: Column, steps: tuple[tuple[float, float], ...]) -> Column:
 def score(docs: DataFrame, model: Toxicity, threshold: float = 0.7) -> DataFrame:
     """``docs`` with ``score`` and ``predicted`` (1 where the score reaches ``threshold``).
 
-    Null and empty texts are scored like any other (no words, no hits). Repeated
-    rows score alike; columns named like the new ones are replaced.
+    Null and empty texts are scored like any other (no words, no hits), texts of any length
+    whole. Repeated rows score alike, and so do texts of equal features; columns named like the new ones are
+    replaced, any other name is free. An empty table stays empty.
     """
     docs = docs.drop("score", "predicted")
     if model.trees is None:
         return docs.withColumns({"score": F.lit(0.0), "predicted": F.lit(0)})
-    rated = model.trees.transform(_assembled(docs, model.lexicon)).withColumn("score", calibrated(vector_to_array("probability")[1], model.steps))
+    vector, raw, chance, label = private(docs, "vector", "raw", "chance", "label")
+    trees = model.trees.copy().setFeaturesCol(vector).setRawPredictionCol(raw).setProbabilityCol(chance).setPredictionCol(label)
+    rated = trees.transform(_assembled(docs, model.lexicon, vector)).withColumn("score", calibrated(vector_to_array(chance)[1], model.steps))
     return rated.select(*docs.columns, "score").withColumn("predicted", (F.col("score") >= threshold).cast("int"))

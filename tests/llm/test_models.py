@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -40,6 +41,19 @@ def test_toxicity_on_held_out_rows(spark):
     assert got[5000]["score"] == got[5001]["score"] and got[5001]["predicted"] == 0
 
 
+def test_names_of_the_model_are_free(spark):
+    rows, labels = toxic_corpus(400)
+    names = ("prediction", "probability", "rawPrediction", "_features", "_f_density", "density", "_vector", "Fold")
+    docs = spark.createDataFrame([(r[0], r[1], *range(len(names))) for r in [*rows, rows[7], (6000, "grunk " * 300_000, "l", 1.0)]], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = toxicity.score(docs, model)
+    assert got.columns == [*docs.columns, "score", "predicted"]
+    found = got.collect()
+    assert all(tuple(r[n] for n in names) == tuple(range(len(names))) for r in found)
+    assert len({r["score"] for r in found if r["doc_id"] == rows[7][0]}) == 1
+    assert [r["predicted"] for r in found if r["doc_id"] == 6000] == [1]
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     for labels in ([], [(1, 1)]):
@@ -110,6 +124,49 @@ def test_banded_alignment():
             assert found[0] == least and plain_distance(pattern, text[found[1] : found[2]]) == least
 
 
+def test_band_of_diagonals():
+    """A stretch that starts outside the given places is not found; long texts take a band of cells only."""
+    text = "y" * 50 + "abcdefghij" + "y" * 50 + "abcdefghiX"
+    assert decontaminate.banded("abcdefghij", text, 2, 0, 60) == (0, 50, 60)
+    assert decontaminate.banded("abcdefghij", text, 2, 105, 115) == (1, 110, 119)
+    assert decontaminate.banded("abcdefghij", text, 2, 0, 40) is None
+    rng = random.Random(1)
+    item = "".join(rng.choice("abcdefgh ij") for _ in range(27_000))
+    edited = "".join(c for c in item if rng.random() > 0.01)
+    start = time.perf_counter()
+    found = decontaminate.banded(item, "x" * 3000 + edited + "x" * 3000, 1350, 1600, 4400)
+    assert found and found[0] <= len(item) - len(edited) and time.perf_counter() - start < 6
+
+
+def test_short_and_common_benchmark_texts(spark):
+    """Texts shorter than a q-gram match on word bounds; a prefix that all items share leads to none of them."""
+    short = ["2+2", "What is 2+2", "é!", "one two"]
+    lead = "the following question has four answers of which one is right "
+    rng = random.Random(5)
+    long = [lead + "".join(rng.choice("abcdefghijklm nopq") for _ in range(150)) for _ in range(40)]
+    docs = ["so What is  2+2? yes", "12+2", "x 2+2 y 2+2", "é! é!!", "oneone two", "ONE\ntwo", lead * 30, "pre " + long[7] + " post", "a" * 5000, None]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([*enumerate(short), *((100 + i, t) for i, t in enumerate(long)), (900, "a" * 300)], "item_id long, text string")
+    got = {}
+    for r in decontaminate.find_leaks(df, benchmark).collect():
+        got.setdefault(r["doc_id"], []).append((r["item_id"], r["start"], r["end"], r["edits"]))
+    assert sorted(got.pop(8))[0][0] == 900
+    assert {i: sorted(v) for i, v in got.items()} == {
+        0: [(0, 11, 14, 0), (1, 3, 14, 0)], 2: [(0, 2, 5, 0), (0, 8, 11, 0)], 3: [(2, 0, 2, 0), (2, 3, 5, 0)], 5: [(3, 0, 7, 0)],
+        7: [(107, 4, 4 + len(decontaminate.normal(long[7])), 0)],
+    }
+
+
+def test_expansion_by_place_equals_expansion_by_pair(monkeypatch):
+    rng = random.Random(2)
+    item = "".join(rng.choice("ab") for _ in range(60))
+    texts = ["".join(rng.choice("ab") for _ in range(300)) + item for _ in range(5)]
+    items = decontaminate.Items([(1, item)], decontaminate.Q, decontaminate.EDIT_RATE)
+    want = list(items.search(texts, decontaminate.Q))
+    monkeypatch.setattr(decontaminate, "MOST_PAIRS", 1)
+    assert want and list(items.search(texts, decontaminate.Q)) == want
+
+
 def test_leaks(spark):
     rng = random.Random(8)
     letters = "abcdefghij klmn éß"
