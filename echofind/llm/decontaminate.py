@@ -95,18 +95,18 @@ def _within(pattern: str, letters: np.ndarray, k: int, first: int, last: int) ->
     return int(row[end]), int(origin[end]), low + end
 
 
-def banded(pattern: str, text: str, k: int, first: int = 0, last: int | None = None) -> tuple[int, int, int] | None:
+def banded(pattern: str, text: str, k: int, first: int = 0, last: int | None = None, expected: int = 0) -> tuple[int, int, int] | None:
     """Fewest edits (at most k) that make ``pattern`` of a stretch of ``text``, with its start and end.
 
     The stretch starts at ``first`` to ``last``; the leftmost of the best ends is taken. Cells
-    lie in the band of those diagonals and k more on each side. Few edits are tried first,
+    lie in the band of those diagonals and k more on each side. A few more edits than ``expected`` are tried first,
     with a narrower band.
     """
     first, last = max(0, first), len(text) if last is None else min(last, len(text))
     if first > last:
         return None
     letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    tried = 4
+    tried = expected * 5 // 4 + 4
     while tried < k:
         found = _within(pattern, letters, tried, first, last)
         if found:
@@ -217,7 +217,9 @@ class Items:
             last = len(data[left : max(left, low + 2 * width)].decode(errors="ignore")) + k
             if before + last <= done:
                 continue
-            found = banded(pattern, data[left:right].decode(errors="ignore"), k, first, last)
+            # An edit loses q q-grams at most, or a few more where characters have several bytes.
+            lost = (size - Q + 1 - int(count)) // (Q + (0 if len(pattern) == size else 3))
+            found = banded(pattern, data[left:right].decode(errors="ignore"), k, first, last, max(0, lost))
             if found and before + found[1] > done:
                 done = before + found[2] - 1
                 yield d, self.ids[i], before + found[1], before + found[2], found[0]

@@ -134,7 +134,7 @@ def test_band_of_diagonals():
     item = "".join(rng.choice("abcdefgh ij") for _ in range(27_000))
     edited = "".join(c for c in item if rng.random() > 0.01)
     start = time.perf_counter()
-    found = decontaminate.banded(item, "x" * 3000 + edited + "x" * 3000, 1350, 1600, 4400)
+    found = decontaminate.banded(item, "x" * 3000 + edited + "x" * 3000, 1350, 1600, 4400, 250)
     assert found and found[0] <= len(item) - len(edited) and time.perf_counter() - start < 6
 
 
