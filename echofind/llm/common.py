@@ -33,6 +33,22 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def co_located(df: DataFrame, parts: int, key: str) -> DataFrame:
+    """A checkpoint of ``df`` in ``parts`` partitions by the hash of ``key``; joins by that key leave it where it is.
+
+    A plan under adaptive execution does not tell how its rows lie, so this one step goes without.
+    """
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(scratch(spark))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.repartition(parts, key).checkpoint()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

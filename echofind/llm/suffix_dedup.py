@@ -6,30 +6,31 @@ equal then are exactly the repeated windows. The passes:
 1. The first digit of a window is its anchor, the least of its 24-byte grams under a
    fixed hash (leftmost on ties). Equal windows have equal anchors. Anchors found in
    one document only hold no repeated window; all their suffixes are dropped here.
-2. Windows of the remaining anchors meet by anchor, in one context for each anchor (the
-   bytes around it). They are sorted by the anchor's place, then four bytes at a time;
-   singletons are dropped after every pass. An anchor of very many blocks is dealt
+2. The windows of an anchor lie in one context, the bytes around it. Contexts travel as names. One whose name
+   an earlier document has is repeated as a whole. Of the others, a window has 13 bytes or more beside
+   its anchor on one side: that is its second digit, and a context that shares neither side's
+   13 bytes with another context of its anchor is dropped.
+3. What is left, one context for each name, meets by anchor as bytes. Windows are sorted by the anchor's place, then four bytes at a time;
+   singletons are dropped after every pass. An anchor of very many contexts is dealt
    out by whole windows instead.
-3. Each block of documents learns which of its windows also start in a document of
-   a smaller id, and removes the bytes they cover.
+4. Each block of documents removes the bytes that its repeated windows cover.
 
-Documents travel in compressed blocks. A block names each anchor and each context once,
-so groups of copies shrink before every shuffle.
+Documents travel once, in compressed blocks that stay where they are for all passes; verdicts come to them.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from echofind.llm.common import BASE, byte_codes, mix, slices, written
+from echofind.llm.common import BASE, byte_codes, co_located, mix, powers, slices, written
 
 DEPTH = 50
 GRAM = 24
@@ -37,27 +38,33 @@ GRAM = 24
 SPAN = DEPTH - GRAM + 1
 #: Widest context: all windows that hold an anchor.
 WIDE = DEPTH + SPAN - 1
+#: Bytes that every window has on one side of its anchor at least.
+SIDE = (DEPTH - GRAM + 1) // 2
 BLOCK_BYTES = 2 << 20
-#: Anchors of more blocks than this are dealt out by window. The result is the same either way.
-HOT_BLOCKS = 256
+#: Bytes of text in the blocks of one task.
+TASK_BYTES = 16 << 20
+#: Anchors of more open contexts than this are dealt out by window. The result is the same either way.
+HOT_CONTEXTS = 1024
 #: Anchors that one task of the first pass sorts.
 ANCHORS_PER_TASK = 2_000_000
-#: Tasks of the second pass for each of the first: a context weighs more than an anchor.
-FINER = 4
 
 BLOCK = "block long, ids binary, sizes binary, data binary"
+WHOLE, OPEN, HOT = np.uint8(1), np.uint8(2), np.uint8(4)
+_INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def to_blocks(block_bytes: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Named by partition and place, so that a task that runs again gives the same blocks.
+        name = TaskContext.get().partitionId() << 32
         for batch in batches:
-            encoded = [(t or "").encode() for t in batch["text"]]
-            rows = []
-            for a, b in slices(encoded, block_bytes):
-                ids, sizes = batch["doc_id"].to_numpy(np.int64)[a:b], np.array([len(e) for e in encoded[a:b]], np.int64)
-                data = zstandard.ZstdCompressor(level=3).compress(b"".join(encoded[a:b]))
-                rows.append((uuid.uuid4().int >> 65, ids.tobytes(), sizes.tobytes(), data))
-            yield pd.DataFrame(rows, columns=["block", "ids", "sizes", "data"])
+            texts = [t or "" for t in batch["text"]]
+            for a, b in slices(texts, block_bytes):
+                encoded = [t.encode() for t in texts[a:b]]
+                ids, sizes = batch["doc_id"].to_numpy(np.int64)[a:b], np.array([len(e) for e in encoded], np.int64)
+                data = zstandard.ZstdCompressor(level=3).compress(b"".join(encoded))
+                yield pd.DataFrame([(name, ids.tobytes(), sizes.tobytes(), data)], columns=["block", "ids", "sizes", "data"])
+                name += 1
 
     return run
 
@@ -92,66 +99,73 @@ class Block:
         self.ids, self.sizes = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int64)
         self.data = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
         self.ends = np.cumsum(self.sizes)
+        self.codes = byte_codes()[self.data]
         n = len(self.data)
         self.place = self.start = self.count = np.zeros(0, np.int64)
         self.key = np.zeros(0, np.uint64)
         if n >= DEPTH:
-            grams = _rolled(byte_codes()[self.data], GRAM)
-            least, at = grams, np.arange(len(grams), dtype=np.int32)
-            size = 1
+            grams = _rolled(self.codes, GRAM)
+            # The upper half of the hash decides, then the place.
+            least = grams & ~np.uint64(0xFFFFFFFF) | np.arange(len(grams), dtype=np.uint64)
             for step in (1, 2, 4, 8, SPAN - 16):
-                m = len(least) - step
-                left = least[:m] <= least[step : step + m]
-                at = np.where(left, at[:m], at[step : step + m])
-                least = np.where(left, least[:m], least[step : step + m])
-                size += step
+                least = np.minimum(least[:-step], least[step:])
             valid = np.ones(n - DEPTH + 1, bool)
             for end in self.ends[:-1]:
                 valid[max(0, end - DEPTH + 1) : end] = False
             starts = np.flatnonzero(valid)
             if len(starts):
-                lead = at[starts]
+                lead = (least[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
                 new = np.concatenate([[True], (lead[1:] != lead[:-1]) | (starts[1:] != starts[:-1] + 1)])
                 cut = np.flatnonzero(new)
                 self.start, self.count = starts[cut], np.diff(np.append(cut, len(starts)))
-                self.place = lead[cut].astype(np.int64)
+                self.place = lead[cut]
                 self.key = mix(grams[self.place])
         self.doc = np.searchsorted(self.ends, self.place, "right")
 
-    def contexts(self, keep: np.ndarray, hot: np.ndarray) -> dict[str, np.ndarray]:
-        """The distinct contexts of the anchors in ``keep``; those in ``hot`` are cut into single windows.
-
-        ``of`` maps each (kept and cut) entry to its context; ``low`` is the least document of a context.
-        """
-        start, count, place, key, doc = (x[keep] for x in (self.start, self.count, self.place, self.key, self.doc))
-        hot = hot[keep]
-        each = np.where(hot, count, 1)
-        inner = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-        start, place, key, doc, hot = (np.repeat(x, each) for x in (start, place, key, doc, hot))
-        count = np.where(hot, 1, np.repeat(count, each))
-        start = start + inner
-        rows = np.zeros((len(start), WIDE + 10), np.uint8)
-        padded = np.concatenate([self.data, np.zeros(WIDE, np.uint8)])
+    def contexts(self, keep: np.ndarray) -> "Contexts":
+        return Contexts(self, keep)
+
+
+class Contexts:
+    """The contexts of the anchors in ``keep``, each distinct one once, in the order of their names.
+
+    ``of`` maps each anchor kept to its context, ``first`` each context to an anchor kept; ``low`` is the least document of a context.
+    """
+
+    def __init__(self, block: Block, keep: np.ndarray) -> None:
+        self.block = block
+        self.start, self.count, self.place, key, self.doc = (x[keep] for x in (block.start, block.count, block.place, block.key, block.doc))
+        n = len(block.data)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(block.codes * powers(n))]) if n else np.zeros(1, np.uint64)
+        self.back = powers(n + 1, _INVERSE)
+        offset = self.place - self.start
+        stop = self.start + self.count + DEPTH - 1
+        shape = mix((offset * 64 + self.count).astype(np.uint64))
+        # Equal names are equal bytes around an anchor at the same place but for a chance of 2**-64.
+        name = mix(self.hashes(self.start, stop) + shape)
+        self.name, self.first, self.of = np.unique(name, return_index=True, return_inverse=True)
+        self.key = key[self.first]
+        self.low = np.full(len(self.first), np.iinfo(np.int64).max)
+        np.minimum.at(self.low, self.of, block.ids[self.doc])
+        place, offset, stop = self.place[self.first], offset[self.first], stop[self.first]
+        left = mix(self.hashes(np.maximum(place - SIDE, 0), place)) >> np.uint64(48) | np.uint64(1)
+        right = mix(self.hashes(np.minimum(place + GRAM, n), np.minimum(place + GRAM + SIDE, n))) >> np.uint64(48) | np.uint64(1)
+        # Zero where a context has fewer bytes on a side.
+        left[offset < SIDE] = 0
+        right[stop - place - GRAM < SIDE] = 0
+        self.sides = (left << np.uint64(16) | right).astype(np.uint32)
+
+    def hashes(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return (self.sums[stop] - self.sums[start]) * self.back[start]
+
+    def cells(self, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """The bytes of some windows that follow each other, one row for each start, zeros behind them."""
+        padded = np.concatenate([self.block.data, np.zeros(WIDE, np.uint8)])
+        out = np.empty((len(start), WIDE), np.uint8)
         for a in range(0, len(start), 1 << 16):
-            part = slice(a, a + (1 << 16))
-            cells = padded[start[part, None] + np.arange(WIDE)]
-            cells[np.arange(WIDE) >= (count[part] + DEPTH - 1)[:, None]] = 0
-            rows[part, :WIDE] = cells
-        rows[:, WIDE], rows[:, WIDE + 1] = place - start, count
-        rows[:, WIDE + 2 :] = key.view(np.uint8).reshape(-1, 8)
-        if len(rows):
-            # Names of the rows decide which are equal; equal names are rows of equal bytes but for a chance of 2**-64.
-            weight = mix(np.arange(1, (WIDE + 10 + 6) // 8 + 1, dtype=np.uint64)) | np.uint64(1)
-            wide = np.zeros((len(rows), len(weight) * 8), np.uint8)
-            wide[:, : rows.shape[1]] = rows
-            name = mix((mix(wide.view(np.uint64)) * weight).sum(axis=1, dtype=np.uint64))
-            _, first, of = np.unique(name, return_index=True, return_inverse=True)
-        else:
-            first = of = np.zeros(0, np.int64)
-        low = np.full(len(first), np.iinfo(np.int64).max)
-        np.minimum.at(low, of, self.ids[doc])
-        route = np.where(hot, mix(name ^ key) if len(rows) else key, key)[first]
-        return {"rows": rows[first, : WIDE + 2], "low": low, "route": route, "of": of, "start": start, "count": count, "doc": doc}
+            out[a : a + (1 << 16)] = padded[start[a : a + (1 << 16), None] + np.arange(WIDE)]
+        out[~_used(count)] = 0
+        return out
 
 
 def _by_bucket(names: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -176,40 +190,34 @@ def anchor_names(buckets: int):
     return run
 
 
-def shared_names(hot_blocks: int):
-    """For each block and bucket, the anchors that other blocks have too, and whether they are hot."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[int, list] = {}
-        for batch in batches:
-            for block, bucket, names in batch[["block", "bucket", "names"]].itertuples(index=False):
-                held.setdefault(bucket, []).append((block, np.frombuffer(names, np.uint32)))
-        while held:
-            bucket, parts = held.popitem()
-            names = np.concatenate([p[1] for p in parts])
-            owner = np.repeat(np.arange(len(parts)), [len(p[1]) for p in parts])
-            order = np.argsort(names, kind="stable")
-            names, owner = names[order], owner[order]
-            start = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
-            size = np.diff(np.append(start, len(names)))
-            count = np.repeat(size, size)
-            keep = count > 1
-            names, owner, count = names[keep], owner[keep], count[keep]
-            order = np.argsort(owner, kind="stable")
-            names, owner, hot = names[order], owner[order], (count > hot_blocks)[order]
-            cut = np.searchsorted(owner, np.arange(len(parts) + 1))
-            rows = [(parts[i][0], bucket, names[cut[i] : cut[i + 1]].tobytes(), hot[cut[i] : cut[i + 1]].tobytes()) for i in np.flatnonzero(np.diff(cut))]
-            if rows:
-                yield pd.DataFrame(rows, columns=["block", "bucket", "names", "hot"])
-
-    return run
-
-
-def _contexts(row, buckets: int) -> tuple[Block, dict[str, np.ndarray]]:
-    """A block and its contexts. ``row.shared`` lists the anchors it shares with other blocks."""
+def shared_names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each block and bucket, the anchors that other blocks have too."""
+    held: dict[int, list] = {}
+    for batch in batches:
+        for block, bucket, names in batch[["block", "bucket", "names"]].itertuples(index=False):
+            held.setdefault(bucket, []).append((block, np.frombuffer(names, np.uint32)))
+    while held:
+        bucket, parts = held.popitem()
+        names = np.concatenate([p[1] for p in parts])
+        owner = np.repeat(np.arange(len(parts)), [len(p[1]) for p in parts])
+        order = np.argsort(names, kind="stable")
+        names, owner = names[order], owner[order]
+        same = names[1:] == names[:-1]
+        keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        names, owner = names[keep], owner[keep]
+        order = np.argsort(owner, kind="stable")
+        names, owner = names[order], owner[order]
+        cut = np.searchsorted(owner, np.arange(len(parts) + 1))
+        rows = [(parts[i][0], bucket, names[cut[i] : cut[i + 1]].tobytes()) for i in np.flatnonzero(np.diff(cut))]
+        if rows:
+            yield pd.DataFrame(rows, columns=["block", "bucket", "names"])
+
+
+def _contexts(row, buckets: int) -> Contexts:
+    """The contexts of a block's shared anchors. ``row.shared`` lists those it shares with other blocks."""
     block = Block(row.ids, row.sizes, row.data)
     n = len(block.key)
-    keep, hot = np.zeros(n, bool), np.zeros(n, bool)
+    keep = np.zeros(n, bool)
     if n:
         # Anchors of several documents of this block.
         order = np.argsort(block.key, kind="stable")
@@ -217,15 +225,11 @@ def _contexts(row, buckets: int) -> tuple[Block, dict[str, np.ndarray]]:
         start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.append(start, n))
         keep[order] = np.repeat(np.maximum.reduceat(doc, start) != np.minimum.reduceat(doc, start), size)
-        bucket = (mix(block.key) >> np.uint64(33)).astype(np.int64) % buckets
-        name = bucket.astype(np.uint64) << np.uint64(32) | (block.key & np.uint64(0xFFFFFFFF))
-        for part in row.shared if row.shared is not None else ():
-            other = np.frombuffer(part["names"], np.uint32).astype(np.uint64) | np.uint64(part["bucket"] << 32)
-            at = np.isin(name, other)
-            keep |= at
-            if any(part["hot"]):
-                hot |= np.isin(name, other[np.frombuffer(part["hot"], bool)])
-    return block, block.contexts(keep, hot)
+        if row.shared is not None and len(row.shared):
+            bucket = (mix(block.key) >> np.uint64(33)).astype(np.int64) % buckets
+            name = bucket.astype(np.uint64) << np.uint64(32) | (block.key & np.uint64(0xFFFFFFFF))
+            keep |= np.isin(name, np.concatenate([np.frombuffer(p["names"], np.uint32).astype(np.uint64) | np.uint64(p["bucket"] << 32) for p in row.shared]))
+    return block.contexts(keep)
 
 
 def _zipped(values: np.ndarray) -> bytes:
@@ -241,16 +245,90 @@ def _used(counts: np.ndarray) -> np.ndarray:
     return np.arange(WIDE) < (counts.astype(np.int64) + DEPTH - 1)[:, None]
 
 
+def name_rows(buckets: int):
+    """The names of each block's contexts by the bucket of their anchor: 32 further bits of the anchor, name, sides, least document."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                c = _contexts(row, buckets)
+                rows = [(row.block, i, c.key[at].astype(np.uint32).tobytes(), c.name[at].tobytes(), c.sides[at].tobytes(), _zipped(c.low[at])) for i, at in _by_bucket(c.key, buckets)]
+                if rows:
+                    yield pd.DataFrame(rows, columns=["block", "bucket", "keys", "names", "sides", "lows"])
+
+    return run
+
+
+def _repeats(values: np.ndarray) -> np.ndarray:
+    """Which values occur more than once."""
+    _, of, count = np.unique(values, return_inverse=True, return_counts=True)
+    return count[of] > 1
+
+
+def judge_names(hot_contexts: int):
+    """For each block and bucket, a byte for each context in the order in which they came: WHOLE, or OPEN (and HOT), or 0."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, list] = {}
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                held.setdefault(row.bucket, []).append(row)
+        while held:
+            bucket, parts = held.popitem()
+            read = lambda column, kind: np.concatenate([np.frombuffer(getattr(p, column), kind) for p in parts])  # noqa: B023, E731
+            key, name, side = read("keys", np.uint32), read("names", np.uint64), read("sides", np.uint32)
+            low = np.concatenate([_unzipped(p.lows, np.int64) for p in parts])
+            order = np.lexsort((name, key))
+            key, name = key[order], name[order]
+            start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])]))
+            group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(key))))
+            whole = low[order] > np.minimum.reduceat(low[order], start)[group]
+            key, side = key[start].astype(np.uint64), side[order][start].astype(np.uint64)
+            left, right = side >> np.uint64(16), side & np.uint64(0xFFFF)
+            again = (left > 0) & _repeats(key << np.uint64(16) | left) | (right > 0) & _repeats(key << np.uint64(16) | right)
+            _, of = np.unique(key, return_inverse=True)
+            many = np.bincount(of, weights=again)[of] > hot_contexts
+            flags = np.zeros(len(low), np.uint8)
+            flags[order] = np.where(whole, WHOLE, np.where(again, OPEN | np.where(many, HOT, np.uint8(0)), np.uint8(0))[group])
+            cut = np.cumsum([0, *(len(p.keys) // 4 for p in parts)])
+            rows = [(p.block, bucket, flags[a:b].tobytes()) for p, a, b in zip(parts, cut[:-1], cut[1:], strict=True) if flags[a:b].any()]
+            if rows:
+                yield pd.DataFrame(rows, columns=["block", "bucket", "flags"])
+
+    return run
+
+
+def _flags(row, c: Contexts, buckets: int) -> np.ndarray:
+    out = np.zeros(len(c.name), np.uint8)
+    if row.flags is not None and len(row.flags):
+        given = {p["bucket"]: p["flags"] for p in row.flags}
+        for i, at in _by_bucket(c.key, buckets):
+            if i in given:
+                out[at] = np.frombuffer(given[i], np.uint8)
+    return out
+
+
 def emit_contexts(buckets: int, parts: int):
+    """The bytes of each block's open contexts; those of hot anchors as single windows, dealt out by what they hold."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                _, c = _contexts(row, buckets)
+                c = _contexts(row, buckets)
+                flags = _flags(row, c, buckets)
+                refs = np.flatnonzero(flags & OPEN)
+                hot, count = flags[refs] & HOT > 0, c.count[c.first[refs]]
+                each = np.where(hot, count, 1)
+                shift = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+                refs, hot = np.repeat(refs, each), np.repeat(hot, each)
+                count = np.where(hot, 1, np.repeat(count, each))
+                start, place = c.start[c.first[refs]] + shift, c.place[c.first[refs]]
+                route = c.key[refs]
+                route[hot] ^= mix(c.hashes(start[hot], start[hot] + DEPTH))
+                cells, places = c.cells(start, count), np.stack([place - start, count, shift]).astype(np.uint8)
                 rows = []
-                for i, at in _by_bucket(c["route"], parts):
-                    part = c["rows"][at]
-                    text = part[:, :WIDE][_used(part[:, WIDE + 1])]
-                    rows.append((row.block, i, _zipped(text), _zipped(part[:, WIDE:].T), _zipped(c["low"][at]), _zipped(at.astype(np.int32))))
+                for i, at in _by_bucket(route, parts):
+                    rows.append((row.block, i, _zipped(cells[at][_used(count[at])]), _zipped(places[:, at]), _zipped(c.low[refs[at]]), _zipped(refs[at].astype(np.int32))))
                 if rows:
                     yield pd.DataFrame(rows, columns=["block", "bucket", "texts", "places", "lows", "refs"])
 
@@ -293,10 +371,11 @@ def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     while held:
         _, parts = held.popitem()
         lows, refs = (np.concatenate([_unzipped(getattr(p, c), t) for p in parts]) for c, t in (("lows", np.int64), ("refs", np.int32)))
-        places = [_unzipped(p.places, np.uint8).reshape(2, -1).T for p in parts]
+        places = [_unzipped(p.places, np.uint8).reshape(3, -1).T for p in parts]
         sizes = [len(p) for p in places]
+        shift = np.concatenate(places)[:, 2].astype(np.uint32)
         rows = np.zeros((len(lows), WIDE + 2), np.uint8)
-        rows[:, WIDE:] = np.concatenate(places)
+        rows[:, WIDE:] = np.concatenate(places)[:, :2]
         cells = np.zeros((len(lows), WIDE), np.uint8)
         cells[_used(rows[:, WIDE + 1])] = np.concatenate([_unzipped(p.texts, np.uint8) for p in parts])
         rows[:, :WIDE] = cells
@@ -311,7 +390,7 @@ def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p, a, b in zip(parts, cut[:-1], cut[1:], strict=True):
             at = np.flatnonzero(bits[a:b])
             if len(at):
-                out.append((p.block, refs[a:b][at].tobytes(), bits[a:b][at].tobytes()))
+                out.append((p.block, refs[a:b][at].tobytes(), (bits[a:b] << shift[a:b])[at].tobytes()))
         if out:
             yield pd.DataFrame(out, columns=["block", "refs", "bits"])
 
@@ -320,16 +399,17 @@ def remove(buckets: int, keep_text: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                block, c = _contexts(row, buckets)
-                bits = np.zeros(len(c["low"]), np.uint32)
+                c = _contexts(row, buckets)
+                block, flags = c.block, _flags(row, c, buckets)
+                bits = np.zeros(len(c.low), np.uint32)
                 for part in row.judged if row.judged is not None else ():
-                    bits[np.frombuffer(part["refs"], np.int32)] |= np.frombuffer(part["bits"], np.uint32)
-                of, start, count = c["of"], c["start"], c["count"]
-                mask = bits[of] if len(of) else bits
-                whole = block.ids[c["doc"]] > c["low"][of] if len(of) else np.zeros(0, bool)
+                    np.bitwise_or.at(bits, np.frombuffer(part["refs"], np.int32), np.frombuffer(part["bits"], np.uint32))
+                # All windows of a context go where an earlier document has the whole of it, some where it has those.
+                whole = (flags[c.of] == WHOLE) | (block.ids[c.doc] > c.low[c.of])
+                mask = np.where(whole, np.uint32(0xFFFFFFFF), bits[c.of])
                 edge = np.zeros(len(block.data) + 1, np.int32)
-                for j in range(int(count.max()) if len(count) else 0):
-                    at = start[(count > j) & (whole | (mask >> np.uint32(j) & np.uint32(1) != 0))] + j
+                for j in range(int(c.count.max()) if len(c.count) else 0):
+                    at = c.start[(c.count > j) & (mask >> np.uint32(j) & np.uint32(1) != 0)] + j
                     np.add.at(edge, at, 1)
                     np.add.at(edge, at + DEPTH, -1)
                 gone = np.cumsum(edge)[:-1] > 0
@@ -344,24 +424,28 @@ def remove(buckets: int, keep_text: bool):
     return run
 
 
-def deduplicate(docs: DataFrame, keep_text: bool = True, block_bytes: int = BLOCK_BYTES, hot_blocks: int = HOT_BLOCKS) -> DataFrame:
+def deduplicate(docs: DataFrame, keep_text: bool = True, block_bytes: int = BLOCK_BYTES, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and (with ``keep_text``) the kept bytes of every document.
 
     A byte goes if a ``DEPTH``-byte string that covers it also starts in a document of a
-    smaller doc_id. A null text is empty; texts under ``DEPTH`` bytes lose nothing; rows of one
+    smaller doc_id. A null text is empty; texts under ``DEPTH`` bytes lose nothing, texts of any length are read whole (one longer than
+    a block is a block by itself); rows of one
     doc_id never remove from each other; rows without doc_id take no part; an empty
     table gives an empty result.
     """
     docs = docs.select("doc_id", "text").filter("doc_id is not null")
-    blocks = written(docs.mapInPandas(to_blocks(block_bytes), BLOCK))
     total = docs.select(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    # Every later pass joins its verdicts to the blocks by this partitioning; the blocks move once.
+    blocks = co_located(docs.mapInPandas(to_blocks(block_bytes), BLOCK), max(16, -(-total // TASK_BYTES)), "block")
     buckets = max(16, -(-total // (ANCHORS_PER_TASK * SPAN // 2)))
     names = blocks.mapInPandas(anchor_names(buckets), "block long, bucket int, names binary")
-    shared = names.repartition(buckets, "bucket").mapInPandas(shared_names(hot_blocks), "block long, bucket int, names binary, hot binary")
-    lists = shared.groupBy("block").agg(F.collect_list(F.struct("bucket", "names", "hot")).alias("shared"))
-    joined = written(blocks.join(lists, "block", "left"))
-    contexts = joined.mapInPandas(emit_contexts(buckets, FINER * buckets), "block long, bucket int, texts binary, places binary, lows binary, refs binary")
-    judged = contexts.repartition(FINER * buckets, "bucket").mapInPandas(judge, "block long, refs binary, bits binary")
+    shared = names.repartition(buckets, "bucket").mapInPandas(shared_names, "block long, bucket int, names binary")
+    known = blocks.join(written(shared.groupBy("block").agg(F.collect_list(F.struct("bucket", "names")).alias("shared"))), "block", "left")
+    named = known.mapInPandas(name_rows(buckets), "block long, bucket int, keys binary, names binary, sides binary, lows binary")
+    flags = named.repartition(buckets, "bucket").mapInPandas(judge_names(hot_contexts), "block long, bucket int, flags binary")
+    rated = known.join(written(flags.groupBy("block").agg(F.collect_list(F.struct("bucket", "flags")).alias("flags"))), "block", "left")
+    contexts = rated.mapInPandas(emit_contexts(buckets, buckets), "block long, bucket int, texts binary, places binary, lows binary, refs binary")
+    judged = contexts.repartition(buckets, "bucket").mapInPandas(judge, "block long, refs binary, bits binary")
     verdicts = judged.groupBy("block").agg(F.collect_list(F.struct("refs", "bits")).alias("judged"))
-    done = joined.join(verdicts, "block", "left").mapInPandas(remove(buckets, keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    done = rated.join(verdicts, "block", "left").mapInPandas(remove(buckets, keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return done if keep_text else done.drop("kept")

@@ -211,8 +211,8 @@ def plain_suffixes(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize(("block_bytes", "hot_blocks"), [(2 << 20, 256), (3_000, 2), (400, 0)])
-def test_suffixes(spark, block_bytes, hot_blocks):
+@pytest.mark.parametrize(("block_bytes", "hot_contexts"), [(2 << 20, 256), (3_000, 2), (400, 0)])
+def test_suffixes(spark, block_bytes, hot_contexts):
     rng = random.Random(9)
     passage = "é" + "".join(rng.choice("abcde ") for _ in range(180))
     texts = [None, "", "x" * 49, "x" * 50, "x" * 300, "ab" * 120, passage, passage, passage[:60], passage[:49]]
@@ -220,7 +220,7 @@ def test_suffixes(spark, block_bytes, hot_blocks):
     rows = [(1000 - 11 * i, t) for i, t in enumerate(texts)]
     rows.append(rows[6])
     df = spark.createDataFrame([(i, t, "k") for i, t in [*rows, (None, passage)]], "doc_id long, text string, kept string").repartition(3)
-    got = suffix_dedup.deduplicate(df, block_bytes=block_bytes, hot_blocks=hot_blocks).collect()
+    got = suffix_dedup.deduplicate(df, block_bytes=block_bytes, hot_contexts=hot_contexts).collect()
     assert sorted(tuple(r)[:5] for r in got) == plain_suffixes(rows)
     assert all(hashlib.sha256(bytes(r["kept"])).hexdigest() == r["kept_sha256"] for r in got)
 
