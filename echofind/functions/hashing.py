@@ -145,5 +145,5 @@ def minhash_similarity(left: Column | str, right: Column | str) -> Column:
     equal = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
     return F.when(
         F.size(a) != F.size(b),
-        F.raise_error("Signature lengths do not match, comparison is not possible.").cast("double"),
+        F.raise_error("signatures have to be of one length to be compared").cast("double"),
     ).otherwise(equal / F.size(a).cast("double"))

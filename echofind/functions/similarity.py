@@ -82,24 +82,58 @@ def _token_sets_jaccard(left: Column | str, right: Column | str) -> Column:
     return jaccard_sets(left, right, empty=0.0)
 
 
+def element_names(elements: Column) -> Column:
+    """64-bit names of an array of strings, for counting inside tiles of pairs."""
+    return F.transform(elements, lambda e: F.xxhash64(e))
+
+
+def _named_counts(text: Column | str) -> Column:
+    counts = token_frequency(text)
+    return bind(counts, lambda c: F.struct(element_names(c["token"]).alias("names"), c["tf"].alias("counts")))
+
+
+def _named_set(text: Column | str) -> Column:
+    return F.struct(element_names(token_set(text)).alias("names"), F.lit(None).cast("array<bigint>").alias("counts"))
+
+
+def cosine_of_products(dot: Column, squared1: Column, squared2: Column) -> Column:
+    norms = F.sqrt(squared1.cast("double")) * F.sqrt(squared2.cast("double"))
+    return F.when((squared1 == 0) | (squared2 == 0), F.lit(0.0)).otherwise(dot / norms)
+
+
+def euclidean_of_products(dot: Column, squared1: Column, squared2: Column) -> Column:
+    distance = squared1 + squared2 - F.lit(2).cast("bigint") * dot
+    return F.lit(1.0) / (F.lit(1.0) + F.sqrt(distance.cast("double")))
+
+
+def jaccard_of_products(dot: Column, squared1: Column, squared2: Column, empty: float = 0.0) -> Column:
+    """Of sets the dot product is what they share and the squares are their sizes."""
+    union = squared1 + squared2 - dot
+    return F.when(union == 0, F.lit(empty)).otherwise(dot / union.cast("double"))
+
+
 @dataclass(frozen=True)
 class Measure:
     """A similarity of texts split in two, so that the first part runs once per document.
 
     ``prepare`` turns a text column into what ``compare`` takes. Calling the
-    measure compares two text columns directly.
+    measure compares two text columns directly. ``named`` turns it into names and counts
+    instead, and ``of_products`` takes the dot product and the two squared norms
+    that a tile of pairs yields.
     """
 
     prepare: Callable[[Column | str], Column]
     compare: Callable[[Column | str, Column | str], Column]
+    named: Callable[[Column | str], Column] | None = None
+    of_products: Callable[[Column, Column, Column], Column] | None = None
 
     def __call__(self, left: Column | str, right: Column | str) -> Column:
         return self.compare(self.prepare(left), self.prepare(right))
 
 
 # Cosine of the two word-count vectors; 0.0 when a text has no words.
-cosine_similarity = Measure(count_vector, cosine_of_vectors)
+cosine_similarity = Measure(count_vector, cosine_of_vectors, _named_counts, cosine_of_products)
 # 1 / (1 + Euclidean distance of the word-count vectors).
-euclidean_similarity = Measure(count_vector, euclidean_of_vectors)
+euclidean_similarity = Measure(count_vector, euclidean_of_vectors, _named_counts, euclidean_of_products)
 # Jaccard similarity of the distinct words; two empty texts give 0.0.
-jaccard_text = Measure(token_set, _token_sets_jaccard)
+jaccard_text = Measure(token_set, _token_sets_jaccard, _named_set, jaccard_of_products)

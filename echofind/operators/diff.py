@@ -1,10 +1,9 @@
-"""Word-level differences of sampled pairs and their markup."""
+"""Word-level differences of pairs of texts and their markup."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,18 +18,24 @@ MARKUP = {
 }
 
 
-def _next_row(row: np.ndarray, equal: np.ndarray) -> np.ndarray:
-    """The next row of the common-subsequence length table."""
-    best = row.copy()
-    np.maximum(best[1:], row[:-1] + equal, out=best[1:])
-    return np.maximum.accumulate(best)
+def _rows(x: list[int], places: dict[int, int], row: int, full: int) -> Iterator[int]:
+    """The rows after ``row`` of the common-subsequence length table, as bit vectors: bit j is 0 where column j + 1 is one more than column j."""
+    for code in x:
+        hit = row & places.get(code, 0)
+        row = ((row + hit) | (row - hit)) & full
+        yield row
+
+
+def _length(row: int, j: int) -> int:
+    """Column ``j`` of a row of the table."""
+    return j - (row & ((1 << j) - 1)).bit_count()
 
 
 def common_words(first: list[str], second: list[str]) -> list[str]:
     """Longest common subsequence; on ties the walk back steps in ``first``.
 
-    Shared ends are set aside. The table is built row by row in NumPy, only
-    about sqrt(n) rows are kept, and each block of rows is rebuilt when the
+    Shared ends are set aside. A row of the length table is one long integer, worked on
+    word by word of the machine. Only about sqrt(n) rows are kept, and each block of rows is rebuilt when the
     walk back reaches it, so whole texts fit in memory at any length.
     """
     start = 0
@@ -44,30 +49,34 @@ def common_words(first: list[str], second: list[str]) -> list[str]:
     middle: list[str] = []
     if a and b:
         codes = {word: code for code, word in enumerate(dict.fromkeys(a + b))}
-        x = np.array([codes[w] for w in a])
-        y = np.array([codes[w] for w in b])
-        step = int(np.sqrt(len(a))) + 1
-        saved = [np.zeros(len(b) + 1, dtype=np.int32)]
-        row = saved[0]
-        for i in range(len(a)):
-            row = _next_row(row, y == x[i])
-            if (i + 1) % step == 0:
+        x = [codes[w] for w in a]
+        bits: dict[int, list[int]] = {}
+        for j, w in enumerate(b):
+            bits.setdefault(codes[w], []).append(j)
+        places = {}
+        for code, at in bits.items():
+            vector = bytearray(len(b) // 8 + 1)
+            for j in at:
+                vector[j >> 3] |= 1 << (j & 7)
+            places[code] = int.from_bytes(vector, "little")
+        full = (1 << len(b)) - 1
+        step = int(len(a) ** 0.5) + 1
+        saved = [full]
+        for i, row in enumerate(_rows(x, places, full, full), 1):
+            if i % step == 0:
                 saved.append(row)
         j = len(b)
         for block in range((len(a) - 1) // step, -1, -1):
             low, high = block * step, min(len(a), (block + 1) * step)
             if j == 0:
                 break
-            table = [saved[block][: j + 1]]
-            for i in range(low, high):
-                table.append(_next_row(table[-1], y[:j] == x[i]))
+            table = [saved[block], *_rows(x[low:high], places, saved[block], full)]
             i = high
             while i > low and j > 0:
-                above, here = table[i - low - 1], table[i - low]
-                if x[i - 1] == y[j - 1]:
+                if a[i - 1] == b[j - 1]:
                     middle.append(a[i - 1])
                     i, j = i - 1, j - 1
-                elif above[j] >= here[j - 1]:
+                elif _length(table[i - low - 1], j) >= _length(table[i - low], j - 1):
                     i -= 1
                 else:
                     j -= 1
@@ -101,7 +110,7 @@ def pair_diff(texts: DataFrame) -> DataFrame:
 
     Each side is an array of ``(op, word)`` with op ``keep`` and ``deleted`` in
     text 1, ``keep`` and ``added`` in text 2. The table walk is sequential, so
-    it runs in Python on Arrow batches; it is meant for sampled pairs. A sample
+    it runs in Python on Arrow batches. A sample
     is a single partition, so the pairs are first dealt out to all slots.
     """
     slots = texts.sparkSession.sparkContext.defaultParallelism

@@ -83,4 +83,4 @@ def extract_features(
         return docs.select(id_col, token_frequency(text).alias("features"))
     if method == "vectorize":
         return (vectorizer or tfidf_token_weights)(docs, text, id_col)
-    raise ValueError(f"Unsupported feature extraction method: {method}; use one of {FEATURE_METHODS}")
+    raise ValueError(f"features are one of {FEATURE_METHODS}, not {method!r}")

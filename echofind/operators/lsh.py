@@ -10,7 +10,8 @@ Candidate pairs come as a *link table* that stands for every candidate:
 A group of n equal signatures takes n-1 rows instead of n(n-1)/2; different
 signatures that share a bucket are all paired, in tiles, whatever the
 size of the bucket. ``weighted_pairs`` counts the document pairs behind each
-row and ``expand_pairs`` writes them out.
+row and ``expand_pairs`` writes them out. Only the weighted strategy starts a job: it
+stores the pairs that it scores.
 """
 
 from __future__ import annotations
@@ -31,7 +32,9 @@ from echofind.functions.hashing import (
     hamming_distance,
     minhash_similarity,
 )
+from echofind.operators.bands import band_names
 from echofind.operators.joins import join_lookup
+from echofind.operators.tiles import equal_positions, in_tiles
 
 TILE_ROWS = 1000
 MERGE_STRATEGIES = ("union", "intersection", "two-stage", "weighted")
@@ -172,12 +175,25 @@ def minhash_bands(
     return signatures.where(F.col(signature).isNotNull()).select(id_col, F.posexplode(checked).alias("band", "key"))
 
 
-def _band_pairs(groups: DataFrame, num_bands: int, rows_per_band: int, signature: str, match: Match | None, tile_rows: int) -> DataFrame:
-    """Pairs of ``groups`` that share a band bucket and satisfy ``match`` (over the columns of ``groups``)."""
-    bands = minhash_bands(groups, num_bands, rows_per_band, signature)
-    if match is not None:
-        bands = bands.join(groups, "doc_id")
-    return tiled_self_join(bands, ["band", "key"], match, tile_rows=tile_rows).distinct()
+def _band_pairs(
+    groups: DataFrame, num_bands: int, rows_per_band: int, signature: str, tile_rows: int, also: Match | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Pairs of ``groups`` that share a band bucket, each once, and satisfy ``also`` over the ``keep`` columns.
+
+    An id travels with the 64-bit names of its bands, no array; a pair is met under its
+    first shared band only, so nothing has to be deduplicated.
+    """
+    names = [f"_b{k}" for k in range(num_bands)]
+    named = groups.where(F.col(signature).isNotNull()).select(
+        "doc_id", *keep, *[name.alias(c) for c, name in zip(names, band_names(signature, num_bands, rows_per_band))]
+    )
+    entries = named.select("*", F.posexplode(F.array(*names)).alias("band", "key"))
+
+    def match(left: Callable[[str], Column], right: Callable[[str], Column]) -> Column:
+        first = reduce(lambda x, y: x & y, [(left("band") <= i) | (left(c) != right(c)) for i, c in enumerate(names)])
+        return first if also is None else first & also(left, right)
+
+    return tiled_self_join(entries, ["band", "key"], match, tile_rows=tile_rows)
 
 
 def minhash_candidate_pairs(
@@ -191,7 +207,7 @@ def minhash_candidate_pairs(
     """Link table of the documents that share at least one band bucket."""
     present = signatures.where(F.col(signature).isNotNull())
     groups = signature_groups(present, (signature,), id_col)
-    pairs = _band_pairs(groups, num_bands, rows_per_band, signature, None, tile_rows)
+    pairs = _band_pairs(groups, num_bands, rows_per_band, signature, tile_rows)
     return _links(pairs, "pair", "minhash").unionByName(_copy_links(present, groups, "minhash", (signature,), id_col))
 
 
@@ -258,7 +274,7 @@ def _masked_entries(rows: DataFrame, masks: list[int], signature: str) -> DataFr
     return rows.select("*", F.posexplode(values).alias("part", "key"))
 
 
-def _first_shared(part: Column, difference: Column, masks: list[int]) -> Column:
+def first_shared(part: Column, difference: Column, masks: list[int]) -> Column:
     """True when no earlier part is equal, so that a pair is met in one part only."""
     zero = F.lit(0).cast("bigint")
     return reduce(
@@ -278,7 +294,7 @@ def _pairs_by_masks(
 
     def match(left: Callable[[str], Column], right: Callable[[str], Column]) -> Column:
         a, b = left(signature), right(signature)
-        near = (hamming_distance(a, b) <= radius) & _first_shared(left("part"), a.bitwiseXOR(b), masks)
+        near = (hamming_distance(a, b) <= radius) & first_shared(left("part"), a.bitwiseXOR(b), masks)
         return near if also is None else near & also(left, right)
 
     return tiled_self_join(entries, ["part", "key"], match, tile_rows=tile_rows)
@@ -328,7 +344,7 @@ def _masked_query(
     difference = F.col("probe_sig").bitwiseXOR(F.col("index_sig"))
     matched = (
         left.join(right, ["part", "key"])
-        .where((F.bit_count(difference) <= radius) & _first_shared(F.col("part"), difference, masks))
+        .where((F.bit_count(difference) <= radius) & first_shared(F.col("part"), difference, masks))
         .select("probe_sig", "index_sig")
     )
     return matched.join(asked, "probe_sig").join(stock, "index_sig").select(probe_id, id_col)
@@ -400,7 +416,7 @@ def bitsampling_query(
 # --- hybrid index ---------------------------------------------------------------
 
 
-def _weighted_score(
+def weighted_score(
     m: Column, s: Column, weights: tuple[float, float], weighted_threshold: float, minhash_threshold: float
 ) -> Column:
     score = F.lit(weights[0]) * m + F.lit(weights[1]) * s
@@ -441,23 +457,23 @@ def hybrid_pairs(
         # it and filtering the MinHash candidates by it are the same set.
         return hamming_distance(left("simhash"), right("simhash")) <= radius
 
-    def scored(left: Callable[[str], Column], right: Callable[[str], Column]) -> Column:
-        m = minhash_similarity(left("minhash"), right("minhash"))
-        s = F.lit(1.0) - hamming_distance(left("simhash"), right("simhash")) / F.lit(float(hash_bits))
-        return _weighted_score(m, s, weights, weighted_score_threshold, minhash_score_threshold)
-
     if strategy in ("intersection", "two-stage"):
-        pairs = _band_pairs(groups, num_bands, rows_per_band, "minhash", near, tile_rows)
+        pairs = _band_pairs(groups, num_bands, rows_per_band, "minhash", tile_rows, near, ("simhash",))
     else:
-        match = scored if strategy == "weighted" else None
-        pairs = _band_pairs(groups, num_bands, rows_per_band, "minhash", match, tile_rows)
-        hashed = groups.where("simhash is not null")
+        pairs = _band_pairs(groups, num_bands, rows_per_band, "minhash", tile_rows)
+        hashed = groups.where("simhash is not null").select("doc_id", "simhash")
         masks = block_masks(hash_bits, radius)
-        pairs = pairs.unionByName(_pairs_by_masks(hashed, masks, radius, "simhash", tile_rows, match)).distinct()
+        pairs = pairs.unionByName(_pairs_by_masks(hashed, masks, radius, "simhash", tile_rows)).distinct()
+    if strategy == "weighted":
+        # Ids first; then each tile of pairs gets the signatures of its documents once.
+        judged = in_tiles(pairs, groups, equal_positions, ("equal", "length", "distance"))
+        m, s = F.col("equal") / F.col("length"), F.lit(1.0) - F.col("distance") / F.lit(float(hash_bits))
+        kept = weighted_score(m, s, weights, weighted_score_threshold, minhash_score_threshold)
+        pairs = judged.where(kept).select("id1", "id2")
     if strategy == "weighted":
         # Documents that agree in both signatures score m = s = 1.
         best = F.lit(1.0)
-        copies = copies.where(_weighted_score(best, best, weights, weighted_score_threshold, minhash_score_threshold))
+        copies = copies.where(weighted_score(best, best, weights, weighted_score_threshold, minhash_score_threshold))
     return _links(pairs, "pair", "hybrid").unionByName(copies)
 
 
@@ -497,6 +513,6 @@ def hybrid_query(
     s = F.lit(1.0) - distance / F.lit(float(hash_bits))
     return (
         judged(banded.unionByName(near).distinct())
-        .where(_weighted_score(m, s, weights, weighted_score_threshold, minhash_score_threshold))
+        .where(weighted_score(m, s, weights, weighted_score_threshold, minhash_score_threshold))
         .select(probe_id, id_col)
     )

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from echofind.functions.similarity import Measure, cosine_similarity
 from echofind.operators.joins import join_lookup
+from echofind.operators.tiles import dot_products, in_tiles
+from echofind.sources.store import stored
 
 Similarity = Callable[[str, str], Column]
 
@@ -32,6 +34,21 @@ def pair_texts(pairs: DataFrame, docs: DataFrame, text: str = "text", id_col: st
     return attach(pairs.select("id1", "id2"), texts, ["text"], id_col).select("id1", "id2", "text1", "text2")
 
 
+def _in_pairs(pairs: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
+    """The documents that occur in a pair."""
+    ids = pairs.select(F.explode(F.array("id1", "id2")).alias(id_col)).distinct()
+    return docs.join(ids, id_col, "left_semi")
+
+
+def score_products(
+    pairs: DataFrame, named: DataFrame, of_products: Callable[[Column, Column, Column], Column], id_col: str = "doc_id"
+) -> DataFrame:
+    """Add ``similarity`` from dot products of ``named`` (id, names, counts), computed in tiles of pairs."""
+    products = in_tiles(pairs, named, dot_products, ("dot", "squared1", "squared2"), id_col)
+    value = of_products(F.col("dot"), F.col("squared1"), F.col("squared2"))
+    return products.select(*pairs.columns, value.alias("similarity"))
+
+
 def score_pairs(
     pairs: DataFrame,
     docs: DataFrame,
@@ -41,14 +58,19 @@ def score_pairs(
 ) -> DataFrame:
     """Add ``similarity`` of the two texts; any function of two columns will do.
 
-    Only documents that occur in a pair leave the corpus scan, and a
-    ``Measure`` is prepared on them once per document rather than per pair.
+    Only documents that occur in a pair leave the corpus scan. A ``Measure`` is
+    prepared on them once per document, and what a document contributes is
+    shipped once for each tile of pairs; any other function gets both texts with each pair.
     """
+    if isinstance(similarity, Measure) and similarity.named is not None:
+        # Read twice: for the documents that are needed and for the tiles.
+        pairs = stored(pairs)
+        named = _in_pairs(pairs, docs, id_col).select(id_col, similarity.named(text).alias("_n")).select(id_col, "_n.names", "_n.counts")
+        return score_products(pairs, named, similarity.of_products, id_col)
     prepared = isinstance(similarity, Measure)
     value = similarity.prepare(text) if prepared else F.col(text)
     compare = similarity.compare if prepared else similarity
-    ids = pairs.select(F.explode(F.array("id1", "id2")).alias(id_col)).distinct()
-    texts = docs.join(ids, id_col, "left_semi").select(id_col, value.alias("_text"))
+    texts = _in_pairs(pairs, docs, id_col).select(id_col, value.alias("_text"))
     scored = attach(pairs, texts, ["_text"], id_col).withColumn("similarity", compare("_text1", "_text2"))
     return scored.select(*pairs.columns, "similarity")
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from echofind.functions.features import ngram_set, token_frequency, token_set
 from echofind.functions.similarity import cosine_similarity
-from echofind.functions.text import clean_text, ngrams, words
+from echofind.functions.text import ngrams, normalize_whitespace, pad_short_text, remove_stopwords, strip_html, strip_punctuation, words
 from echofind.operators import evaluate, fingerprint, lsh
 from echofind.operators.diff import diff_markup, pair_diff
 from echofind.operators.features import FEATURE_METHODS, tfidf_token_weights
@@ -30,8 +30,16 @@ INDEXES = {
 
 @dataclass(frozen=True)
 class Options:
-    """Settings of a run. ``index`` defaults to the index named like the fingerprint."""
+    """Settings of a run. ``index`` defaults to the index named like the fingerprint.
 
+    A hybrid index has bands and a radius of its own where ``hybrid_bands``, ``hybrid_rows``
+    or ``hybrid_radius`` say so, else those of the others.
+    """
+
+    remove_punctuation: bool = True
+    lowercase: bool = True
+    stopwords: tuple[str, ...] = ()
+    fill_short: bool = False
     features: str = "ngram"
     ngram_size: int = 3
     fingerprint: str = "minhash"
@@ -50,21 +58,32 @@ class Options:
     weights: tuple[float, float] = (0.95, 0.05)
     weighted_score_threshold: float = 0.65
     minhash_score_threshold: float = 0.3
+    hybrid_bands: int | None = None
+    hybrid_rows: int | None = None
+    hybrid_radius: int | None = None
 
     def __post_init__(self) -> None:
         if self.features not in FEATURE_METHODS:
-            raise ValueError(f"Unsupported feature extraction method: {self.features}; use one of {FEATURE_METHODS}")
+            raise ValueError(f"features are one of {FEATURE_METHODS}, not {self.features!r}")
         if self.fingerprint not in FINGERPRINTS:
             raise ValueError(f"Unknown fingerprint method: {self.fingerprint}; use one of {FINGERPRINTS}")
         if self.index_method not in INDEXES[self.fingerprint]:
             raise ValueError(f"Index {self.index_method!r} cannot hold {self.fingerprint} fingerprints")
-        if self.index_method in ("minhash", "hybrid") and self.num_bands * self.rows_per_band > self.num_hashes:
+        bands, rows, _ = self.hybrid if self.index_method == "hybrid" else (self.num_bands, self.rows_per_band, 0)
+        if self.index_method in ("minhash", "hybrid") and bands * rows > self.num_hashes:
             raise ValueError("num_bands * rows_per_band exceeds num_hashes")
 
     @property
     def index_method(self) -> str:
         return self.index or self.fingerprint
 
+    @property
+    def hybrid(self) -> tuple[int, int, int]:
+        """Bands, rows and radius of a hybrid index."""
+        own = (self.hybrid_bands, self.hybrid_rows, self.hybrid_radius)
+        shared = (self.num_bands, self.rows_per_band, self.radius)
+        return tuple(b if a is None else a for a, b in zip(own, shared, strict=True))
+
     @property
     def signature_bits(self) -> int:
         """Width of a bit signature."""
@@ -109,9 +128,21 @@ class NearDuplicates:
         return evaluate.duplicate_distribution(self.scored)
 
 
-def clean_corpus(corpus: DataFrame) -> DataFrame:
+def cleaned_text(options: Options) -> Column:
+    """The text as the options clean it: tags and runs of white space always go."""
+    cleaned = normalize_whitespace(strip_html("text"))
+    if options.remove_punctuation:
+        cleaned = strip_punctuation(cleaned)
+    if options.lowercase:
+        cleaned = F.lower(cleaned)
+    if options.stopwords:
+        cleaned = remove_stopwords(cleaned, options.stopwords)
+    return pad_short_text(cleaned) if options.fill_short else cleaned
+
+
+def clean_corpus(corpus: DataFrame, options: Options | None = None) -> DataFrame:
     """Cleaned texts; documents without text have no features and are left out."""
-    return corpus.where("text is not null").select("doc_id", clean_text("text").alias("text"))
+    return corpus.where("text is not null").select("doc_id", cleaned_text(options or Options()).alias("text"))
 
 
 def compute_signatures(cleaned: DataFrame, options: Options) -> DataFrame:
@@ -174,9 +205,7 @@ def candidate_links(signatures: DataFrame, options: Options) -> DataFrame:
         return lsh.hybrid_pairs(
             signatures,
             options.merge_strategy,
-            options.num_bands,
-            options.rows_per_band,
-            options.radius,
+            *options.hybrid,
             options.hash_bits,
             options.weights,
             options.weighted_score_threshold,
@@ -225,7 +254,7 @@ def find_near_duplicates(
     them; texts stay where they are and are joined only to the pairs found.
     """
     options = options or Options()
-    cleaned = clean_corpus(corpus)
+    cleaned = clean_corpus(corpus, options)
     signatures = stored(compute_signatures(cleaned, options))
     groups = stored(text_groups(signatures, options))
     links = stored(candidate_links(groups, options))
@@ -255,7 +284,7 @@ def run_pipeline(
         return spark.read.parquet(f"{output}/{name}.parquet")
 
     with metrics.stage("preprocess"):
-        rows = write_preprocessed(clean_corpus(corpus), f"{output}/preprocessed.parquet", id_col="doc_id")
+        rows = write_preprocessed(clean_corpus(corpus, options), f"{output}/preprocessed.parquet", id_col="doc_id")
         metrics.results["raw_data_count"] = rows
     cleaned = saved("preprocessed")
     with metrics.stage("fingerprint"):

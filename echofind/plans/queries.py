@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from echofind.functions import features as feat
 from echofind.functions import hashing, similarity, text
-from echofind.operators import diff, evaluate, fingerprint, lsh, pairs
+from echofind.operators import diff, evaluate, fingerprint, index, lsh, pairs
 from echofind.operators import features as feature_tables
 from echofind.plans import pipeline
 from echofind.sources import io
@@ -29,6 +29,7 @@ NUM_TABLES, BITS_PER_TABLE, TABLE_RADIUS = 2, 16, 3
 SAMPLE_SIZE, VECTOR_BITS = 16, 32
 PROBE_WEIGHTS, PROBE_SCORE, PROBE_MINHASH = 0.5, 0.4, 0.02
 WEIGHTED_MINHASH, WEIGHTED_SIMHASH, WEIGHTED_SCORE, MINHASH_SCORE = 0.95, 0.05, 0.65, 0.3
+OWN_BANDS, OWN_ROWS, OWN_RADIUS = 16, 4, 2
 TRUTH_THRESHOLD = 0.6
 SAMPLE_PAIRS = 20
 EXTRA_STOPWORDS = ("_start_article_",)
@@ -267,8 +268,10 @@ def minhash_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def minhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = _minhash(_cleaned(spark, sf_dir))
-    return lsh.minhash_query(_minhash(_probes(spark, sf_dir), "probe_id"), index, PROBE_BANDS, PROBE_ROWS)
+    """The benchmark texts against a stored index of all documents."""
+    signatures = _minhash(_cleaned(spark, sf_dir)).withColumnRenamed("signature", "minhash")
+    stock = index.StoredIndex.create(signatures, shared_dir(spark), index.IndexSettings(PROBE_BANDS, PROBE_ROWS))
+    return stock.query(_minhash(_probes(spark, sf_dir), "probe_id").withColumnRenamed("signature", "minhash"))
 
 
 def simhash_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,8 +284,8 @@ def simhash_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = _simhash(_cleaned(spark, sf_dir))
-    return lsh.simhash_query(_simhash(_probes(spark, sf_dir), "probe_id"), index, PROBE_RADIUS, HASH_BITS)
+    stock = _simhash(_cleaned(spark, sf_dir))
+    return lsh.simhash_query(_simhash(_probes(spark, sf_dir), "probe_id"), stock, PROBE_RADIUS, HASH_BITS)
 
 
 def bitsampling_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,9 +301,9 @@ def bitsampling_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bitsampling_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = _simhash(_cleaned(spark, sf_dir))
+    stock = _simhash(_cleaned(spark, sf_dir))
     probes = _simhash(_probes(spark, sf_dir), "probe_id")
-    return lsh.bitsampling_query(probes, index, PROBE_RADIUS, NUM_TABLES, BITS_PER_TABLE, HASH_BITS, SEED)
+    return lsh.bitsampling_query(probes, stock, PROBE_RADIUS, NUM_TABLES, BITS_PER_TABLE, HASH_BITS, SEED)
 
 
 def _hybrid_merge(strategy: str) -> Query:
@@ -327,17 +330,28 @@ def _twentieth(signatures: DataFrame) -> DataFrame:
 
 
 def bitsampling_query_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = stored(_simhash(_cleaned(spark, sf_dir)))
-    return lsh.bitsampling_query(_twentieth(index), index, TABLE_RADIUS, NUM_TABLES, BITS_PER_TABLE, HASH_BITS, SEED)
+    stock = stored(_simhash(_cleaned(spark, sf_dir)))
+    return lsh.bitsampling_query(_twentieth(stock), stock, TABLE_RADIUS, NUM_TABLES, BITS_PER_TABLE, HASH_BITS, SEED)
+
+
+def stored_index_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weighted probe of ``hybrid_query_weighted`` against an index that is written, appended to and opened again."""
+    signatures = stored(_hybrid(_cleaned(spark, sf_dir)))
+    path = shared_dir(spark)
+    settings = index.IndexSettings(PROBE_BANDS, PROBE_ROWS, PROBE_RADIUS, HASH_BITS)
+    older, newer = (signatures.where(f"doc_id % 2 = {k}") for k in (0, 1))
+    index.StoredIndex.create(older, path, settings).append(newer)
+    weights = (PROBE_WEIGHTS, 1 - PROBE_WEIGHTS)
+    return index.StoredIndex.open(spark, path).query(_twentieth(signatures), "weighted", weights, PROBE_SCORE, PROBE_MINHASH)
 
 
 def _hybrid_probe(strategy: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        index = stored(_hybrid(_cleaned(spark, sf_dir)))
-        probes = _twentieth(index)
+        stock = stored(_hybrid(_cleaned(spark, sf_dir)))
+        probes = _twentieth(stock)
         weights = (PROBE_WEIGHTS, 1 - PROBE_WEIGHTS)
         return lsh.hybrid_query(
-            probes, index, strategy, PROBE_BANDS, PROBE_ROWS, PROBE_RADIUS, HASH_BITS, weights, PROBE_SCORE, PROBE_MINHASH
+            probes, stock, strategy, PROBE_BANDS, PROBE_ROWS, PROBE_RADIUS, HASH_BITS, weights, PROBE_SCORE, PROBE_MINHASH
         )
 
     return query
@@ -355,9 +369,10 @@ def _similarity(measure: pairs.Similarity) -> Query:
 
 
 def jaccard_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = pairs.attach(_text_pairs(spark, sf_dir), _gram_sets(_cleaned(spark, sf_dir)), ["features"])
-    value = similarity.jaccard_sets("features1", "features2")
-    return both.select("id1", "id2", "n_pairs", F.round(value, 6).alias("similarity"))
+    names = similarity.element_names(F.col("features")).alias("names")
+    sets = _gram_sets(_cleaned(spark, sf_dir)).select("doc_id", names, F.lit(None).cast("array<bigint>").alias("counts"))
+    scored = pairs.score_products(_text_pairs(spark, sf_dir), sets, lambda *p: similarity.jaccard_of_products(*p, empty=1.0))
+    return scored.select("id1", "id2", "n_pairs", F.round("similarity", 6).alias("similarity"))
 
 
 # --- evaluation ----------------------------------------------------------------
@@ -426,9 +441,7 @@ def _consecutive_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).where("id2 is not null")
 
 
-def pair_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = diff.pair_diff(_consecutive_turns(spark, sf_dir))
-
+def _diff_counts(marked: DataFrame) -> DataFrame:
     def count(side: str, op: str) -> Column:
         return F.size(F.filter(side, lambda mark: mark["op"] == op))
 
@@ -441,6 +454,15 @@ def pair_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pair_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _diff_counts(diff.pair_diff(_consecutive_turns(spark, sf_dir)))
+
+
+def pair_diff_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate pair of distinct documents, word by word."""
+    return _diff_counts(diff.pair_diff(pair_texts(spark, sf_dir)))
+
+
 def diff_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = diff.pair_diff(_consecutive_turns(spark, sf_dir))
     sides = [
@@ -569,6 +591,7 @@ QUERIES: dict[str, Query] = {
         bitsampling_candidate_pairs,
         bitsampling_query,
         bitsampling_query_documents,
+        stored_index_query,
         jaccard_sets,
         near_duplicate_rate,
         evaluation_report,
@@ -578,6 +601,7 @@ QUERIES: dict[str, Query] = {
         sample_pairs,
         pair_texts,
         pair_diff,
+        pair_diff_documents,
         diff_markup,
         read_corpus,
         read_corpus_directory,
@@ -607,6 +631,12 @@ QUERIES: dict[str, Query] = {
             num_hash_tables=NUM_TABLES, bits_per_table=BITS_PER_TABLE,
         )
     ),
+    "find_near_duplicates_cleaning": _end_to_end(
+        pipeline.Options(remove_punctuation=False, lowercase=False, stopwords=STOPWORDS, fill_short=True)
+    ),
+    "find_near_duplicates_hybrid_own": _end_to_end(
+        pipeline.Options(fingerprint="hybrid", hybrid_bands=OWN_BANDS, hybrid_rows=OWN_ROWS, hybrid_radius=OWN_RADIUS)
+    ),
     "find_near_duplicates_hybrid": _end_to_end(pipeline.Options(fingerprint="hybrid")),
     "cosine_similarity": _similarity(similarity.cosine_similarity),
     "jaccard_text": _similarity(similarity.jaccard_text),

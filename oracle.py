@@ -305,6 +305,24 @@ def oracle_sql() -> dict[str, str]:
             "tp", "tf", "norm", "tsize", *names,
         )
 
+    cosine_of_candidates = with_ctes(
+            """SELECT a.head AS id1, b.head AS id2, count(*) AS n_pairs, round(avg(similarity), 6) AS similarity
+            FROM (SELECT least(x.head, y.head) AS lo, greatest(x.head, y.head) AS hi, similarity FROM cos
+                  JOIN chead x ON x.doc_id = id1 JOIN chead y ON y.doc_id = id2) p
+            JOIN (SELECT DISTINCT head FROM chead) a ON a.head = p.lo JOIN (SELECT DISTINCT head FROM chead) b ON b.head = p.hi
+            GROUP BY ALL""", "cos", "chead"
+        )
+    # One row of the common-subsequence table for each word of the earlier turn.
+    cell = "lambda j: CASE WHEN j = 0 THEN 0 ELSE greatest(r[j + 1], r[j] + (CASE WHEN b[j] = a[i + 1] THEN 1 ELSE 0 END)) END"
+    turn_diff = f"""WITH RECURSIVE t AS (
+        SELECT conv_id * 1000 + turn AS id1, conv_id * 1000 + lead(turn) OVER w AS id2, {split('text')} AS a, lead({split('text')}) OVER w AS b
+        FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+      d AS (SELECT id1, id2, a, b, 0 AS i, list_transform(range(len(b) + 1), lambda j: 0::bigint) AS r FROM t WHERE id2 IS NOT NULL AND a IS NOT NULL AND b IS NOT NULL
+        UNION ALL SELECT id1, id2, a, b, i + 1, list_transform(range(len(b) + 1), lambda k: list_max(c[1 : k + 1]))
+        FROM (SELECT *, list_transform(range(len(b) + 1), {cell}) AS c FROM d WHERE i < len(a)))
+      SELECT id1, id2, r[len(b) + 1]::int AS kept, (len(a) - r[len(b) + 1])::int AS deleted, (len(b) - r[len(b) + 1])::int AS added
+      FROM d WHERE i = len(a)"""
+
     return {
         "clean_text": f"SELECT doc_id, {clean('text')} AS cleaned FROM documents",
         "clean_text_config": f"SELECT doc_id, {pad('x')} AS cleaned FROM (SELECT doc_id, {_config_clean(extra)} AS x FROM documents)",
@@ -405,6 +423,7 @@ def oracle_sql() -> dict[str, str]:
         "hybrid_query_intersection": _probed("intersection"),
         "hybrid_query_two_stage": _probed("two-stage"),
         "hybrid_query_weighted": _probed("weighted"),
+        "stored_index_query": _probed("weighted"),
         "cosine_similarity": linked("coalesce(d.dot, 0) / (sqrt(a.n2::double) * sqrt(b.n2::double))"),
         "euclidean_similarity": linked("1 / (1 + sqrt((a.n2 + b.n2)::double - 2 * coalesce(d.dot, 0)))"),
         "jaccard_text": linked("coalesce(d.shared, 0) / (ta.n + tb.n - coalesce(d.shared, 0))::double"),
@@ -454,13 +473,15 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT a.doc_id AS id1, b.doc_id AS id2 FROM whs a JOIN whs b ON a.doc_id < b.doc_id AND bit_count(xor(a.s, b.s)) <= {q.RADIUS}", "whs"
         ),
         "find_near_duplicates_bitsampling": _end_to_end(bitsampled, "sh"),
+        "find_near_duplicates_cleaning": cosine_of_candidates.replace(
+            CTES["c"],
+            f"SELECT doc_id, {pad('x')} AS text FROM (SELECT doc_id, array_to_string({without(split('y'), stop)}, ' ') AS x FROM (SELECT doc_id, {squeeze(strip_tags('text'))} AS y FROM documents))",
+        ),
+        "find_near_duplicates_hybrid_own": _end_to_end(_kept("weighted")[0], *_kept("weighted")[1])
+        .replace(CTES["band"], banded("mh", "doc_id", q.OWN_BANDS, q.OWN_ROWS))
+        .replace(CTES["sgp"], CTES["sgp"].replace(f"<= {q.RADIUS}", f"<= {q.OWN_RADIUS}")),
+        "pair_diff": turn_diff,
         "find_near_duplicates_hybrid": _end_to_end(_kept("weighted")[0], *_kept("weighted")[1]),
         "read_pairs": with_ctes("SELECT id1, id2 FROM tp WHERE id1 < id2", "tp"),
-        "find_near_duplicates": with_ctes(
-            """SELECT a.head AS id1, b.head AS id2, count(*) AS n_pairs, round(avg(similarity), 6) AS similarity
-            FROM (SELECT least(x.head, y.head) AS lo, greatest(x.head, y.head) AS hi, similarity FROM cos
-                  JOIN chead x ON x.doc_id = id1 JOIN chead y ON y.doc_id = id2) p
-            JOIN (SELECT DISTINCT head FROM chead) a ON a.head = p.lo JOIN (SELECT DISTINCT head FROM chead) b ON b.head = p.hi
-            GROUP BY ALL""", "cos", "chead"
-        ),
+        "find_near_duplicates": cosine_of_candidates,
     }
