@@ -242,21 +242,33 @@ def test_chunks(spark):
     sizes = np.diff([0, *ends])
     assert ends[-1] == len(data) and sizes.max() <= chunk_dedup.MOST and sizes[:-1].min() >= chunk_dedup.LEAST
     passage = " ".join(words(rng, 600))
-    texts = [None, "", "short", passage, "inserted " + passage, " ".join(words(rng, 30)) + passage + " tail", "short", passage]
+    texts = [None, "", "short", passage, "inserted " + passage, " ".join(words(rng, 30)) + passage + " tail", "short", passage, None]
+    (ends,) = chunk_dedup.text_chunks([passage.encode()])
+    texts.append(" ".join(words(rng, 40, 10**4)) + " " + passage[ends[2] - 17 : ends[3] + 17] + " " + " ".join(words(rng, 40, 10**4)))
     df = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, n_removed int")
     rows = {r["doc_id"]: r for r in chunk_dedup.deduplicate(df).collect()}
-    seen, want = set(), {}
+    seen, want, single = {}, {}, {}
     for i, t in enumerate(texts):
         e = (t or "").encode()
         (ends,) = chunk_dedup.text_chunks([e])
-        want[i] = []
+        runs = []
         for s, end in zip([0, *ends[:-1]], ends, strict=False):
-            if e[s:end] in seen:
-                want[i].append((s, end))
-            seen.add(e[s:end])
-    assert {i: [(x["start"], x["end"]) for x in r["removed"]] for i, r in rows.items()} == want
-    assert all(r["n_removed"] == sum(e - s for s, e in want[i]) and r["n_duplicates"] == len(want[i]) for i, r in rows.items())
+            first = seen.setdefault(e[s:end], (i, s))
+            if first == (i, s):
+                continue
+            places = (first[1], first[1] + end - s)
+            if runs and runs[-1][1] == s and runs[-1][3] == first[0] and first[1] in runs[-1][4]:
+                runs[-1] = (runs[-1][0], end, runs[-1][2] + 1, first[0], places)
+            else:
+                runs.append((s, end, 1, first[0], places))
+        want[i] = [r for r in runs if r[1] - r[0] >= 100 or r[1] - r[0] == len(e)]
+        single[i] = sum(r[2] for r in runs) - sum(r[2] for r in want[i])
+    assert {i: [(x["start"], x["end"], x["first_doc"]) for x in r["removed"]] for i, r in rows.items()} == {i: [(a, b, d) for a, b, _, d, _ in w] for i, w in want.items()}
+    assert all((r["n_removed"], r["n_duplicates"], r["n_single"]) == (sum(b - a for a, b, *_ in want[i]), sum(w[2] for w in want[i]), single[i]) for i, r in rows.items())
     assert rows[4]["n_removed"] > 0.8 * len(passage) and rows[7]["n_removed"] == len(passage) and rows[6]["n_removed"] == 5
+    assert rows[9]["n_removed"] == 0 and rows[9]["n_single"] > 0
+    long = spark.createDataFrame([(1, "z" * 2_000_000), (1, "z" * 2_000_000), (2, None), (3, "z" * 2_000_000)], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["n_removed"] > 1_999_000) for r in chunk_dedup.deduplicate(long).collect()) == [(1, True), (1, True), (2, False), (3, True)]
 
 
 def test_chunks_of_short_passages():
