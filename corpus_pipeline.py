@@ -48,7 +48,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", pack_batches),
 ]
 
-#: The trees of the first stage have no SQL; tests hold the stages against plain Python.
+#: The trees of the first stage have no SQL; tests/llm/test_corpus_pipeline.py holds every stage against plain Python.
 ORACLE_SQL = None
 
 
