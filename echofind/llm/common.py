@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
@@ -61,6 +63,12 @@ def private(df: DataFrame, *names: str) -> list[str]:
     return [lead + name for name in names]
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker goes from stage to stage and otherwise keeps the most that any of them took."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def powers(n: int, base: int = BASE) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     out = np.full(max(n, 1), base, np.uint64)
