@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from echofind.functions.features import (
     count_elements,
@@ -15,14 +17,12 @@ from echofind.functions.features import (
     token_set,
     vector_tokens,
 )
+from echofind.operators.dictionary import flat, in_blocks, sums
 from echofind.operators.joins import join_lookup
+from echofind.sources.store import stored
 
 FEATURE_METHODS = ("ngram", "token", "frequency", "vectorize")
-
-
-def _term_counts(docs: DataFrame, text: Column | str, id_col: str) -> DataFrame:
-    counted = docs.select(F.col(id_col), F.explode(count_elements(vector_tokens(text))).alias("entry"))
-    return counted.select(id_col, "entry.token", "entry.tf")
+PART_SCHEMA = StructType([StructField("name", LongType()), StructField("part", DoubleType())])
 
 
 def _document_frequency(docs: DataFrame, text: Column | str, id_col: str) -> DataFrame:
@@ -46,19 +46,25 @@ def idf_token_weights(docs: DataFrame, text: Column | str = "text", id_col: str
 def tfidf_token_weights(docs: DataFrame, text: Column | str = "text", id_col: str = "doc_id") -> DataFrame:
     """TF-IDF score of every token summed over all documents.
 
-    Smoothed idf, rows scaled to unit length. The per-document norm is a
-    window over the rows of one document, whose size is one document's
-    vocabulary; both token aggregations combine before they shuffle.
+    Smoothed idf, rows scaled to unit length. Word counts are stored first. Each document then travels
+    once, as 64-bit names and counts, and meets the idf of its block's distinct words; a block
+    yields one partial sum for each word.
     """
-    counts = _term_counts(docs, text, id_col)
-    idf = _with_idf(_document_frequency(docs, text, id_col), docs)
-    scored = join_lookup(counts, idf, ["token"]).select(id_col, "token", (F.col("tf") * F.col("idf")).alias("score"))
-    norm = F.sqrt(F.sum(F.col("score") * F.col("score")).over(W.partitionBy(id_col)))
-    return (
-        scored.select("token", (F.col("score") / norm).alias("unit"))
-        .groupBy("token")
-        .agg(F.sum("unit").alias("weight"))
-    )
+    counted = docs.select(F.col(id_col), count_elements(vector_tokens(text)).alias("_c"))
+    terms = stored(counted.select(id_col, F.col("_c.token").alias("tokens"), F.col("_c.tf").alias("tf")))
+    words = terms.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    vocabulary = stored(_with_idf(words, terms).select(F.xxhash64("token").alias("name"), "token", "idf"))
+
+    def unit_sums(rows: pd.DataFrame, edge: np.ndarray, names: np.ndarray, at: np.ndarray, entries: pd.DataFrame) -> pd.DataFrame:
+        score = flat(rows["tf"]) * entries["idf"].to_numpy(float)[at] if len(names) else np.zeros(0)
+        norm = np.sqrt(sums(score * score, edge))
+        unit = score / np.repeat(norm, np.diff(edge))
+        return pd.DataFrame({"name": entries["name"], "part": np.bincount(at, unit, len(entries))})
+
+    named = terms.select(id_col, F.transform("tokens", lambda t: F.xxhash64(t)).alias("names"), "tf")
+    parts = in_blocks(named, vocabulary.select("name", "idf"), unit_sums, PART_SCHEMA, id_col)
+    weights = parts.groupBy("name").agg(F.sum("part").alias("weight"))
+    return join_lookup(vocabulary.select("name", "token"), weights, ["name"]).select("token", "weight")
 
 
 def extract_features(

@@ -7,8 +7,11 @@ shrinks them to one row before anything is shuffled.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from echofind.functions.hashing import (
     MINHASH_PRIME,
@@ -21,7 +24,8 @@ from echofind.functions.hashing import (
     sample_bit_indices,
 )
 from echofind.functions.text import as_column
-from echofind.operators.joins import join_lookup
+from echofind.operators.dictionary import flat, in_blocks, sums
+from echofind.sources.store import stored
 
 WEIGHT_UNIT = 1_000_000
 
@@ -136,29 +140,41 @@ def simhash_weighted(
     keep: tuple[str, ...] = (),
     hash_method: str = "md5",
 ) -> DataFrame:
-    """SimHash with weights from a table ``(token, weight)``; a missing token weighs 1.
+    """SimHash with weights from a table ``(token, weight)``, one row for each token; a missing token weighs 1.
 
     Weights are scaled to whole micro-units so that a sum does not depend on
-    its order. The join carries no hint: Spark broadcasts the vocabulary only
-    when its size is under the session's threshold, and splits hot tokens
-    otherwise.
+    its order. Features travel hashed, as two arrays with each document, and only the
+    distinct 64-bit names of a block of documents meet the weights. Null features
+    do not vote. The hashes are stored first.
     """
+    check_hash_bits(hash_bits)
     keys = _keys(id_col, keep)
+    present = docs.select(*keys, F.filter(as_column(features), lambda f: f.isNotNull()).alias("_f"))
+    hashed = stored(
+        present.select(
+            *keys,
+            F.transform("_f", lambda f: F.xxhash64(f)).alias("names"),
+            F.transform("_f", lambda f: feature_hash(f, hash_bits, hash_method)).alias("_hashes"),
+        )
+    )
     units = weights.select(
-        F.col("token").alias("feature"),
+        F.xxhash64("token").alias("name"),
         F.round(F.col("weight") * F.lit(float(WEIGHT_UNIT))).cast("bigint").alias("units"),
-    )
-    weighted = join_lookup(_exploded(docs, features, keys), units, ["feature"], "left")
-    hashed = weighted.select(
-        *keys,
-        feature_hash("feature", hash_bits, hash_method).alias("h"),
-        F.coalesce("units", F.lit(WEIGHT_UNIT).cast("bigint")).alias("units"),
-    )
-    return (
-        hashed.groupBy(*keys)
-        .agg(*_votes(F.col("units"), F.col("h"), hash_bits))
-        .select(*keys, _majority(hash_bits).alias("signature"))
-    )
+    ).where("units is not null")
+
+    def vote(rows: pd.DataFrame, edge: np.ndarray, names: np.ndarray, at: np.ndarray, entries: pd.DataFrame) -> pd.DataFrame:
+        weight = np.full(len(names), WEIGHT_UNIT, np.int64)
+        weight[at >= 0] = entries["units"].to_numpy(np.int64)[at[at >= 0]]
+        hashes = flat(rows["_hashes"])
+        total = sums(weight, edge)
+        signature = np.zeros(len(rows), np.uint64)
+        for i in range(hash_bits):
+            ahead = 2 * sums(weight * (hashes >> i & 1), edge) > total
+            signature |= ahead.astype(np.uint64) << np.uint64(i)
+        return rows[keys].assign(signature=signature.view(np.int64))
+
+    schema = StructType([*hashed.select(*keys).schema.fields, StructField("signature", LongType())])
+    return in_blocks(hashed, units, vote, schema, id_col)
 
 
 def bit_vector_xor(
