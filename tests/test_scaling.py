@@ -11,7 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from echofind.functions import text
-from echofind.operators import diff, index, lsh, tiles
+from echofind.functions.features import ngram_set
+from echofind.operators import diff, evaluate, index, lsh, tiles
+from echofind.plans.pipeline import find_near_duplicates
+from echofind.sources.store import stored
 
 
 def signatures(spark, n=80):
@@ -102,3 +105,21 @@ def test_runs_of_white_space(spark):
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     plain = F.trim(F.regexp_replace("text", text.SPACES, " "))
     assert df.where(~text.normalize_whitespace("text").eqNullSafe(plain)).count() == 0
+
+
+def test_a_distribution_scores_its_pairs_once(spark):
+    docs = spark.createDataFrame([(i, f"one two three four five six seven {i % 7}") for i in range(30)], "doc_id bigint, text string")
+    result = find_near_duplicates(docs)
+    assert "FlatMapCoGroups" in plan_of(result.scored) and "FlatMapCoGroups" not in plan_of(result.distribution())
+    assert {r["n"] for r in result.distribution().where("kind = 'similarity'").collect()}
+
+
+def test_exact_pairs_build_their_sets_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(evaluate, "stored", lambda df: (written.append(df), stored(df))[1])
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "a b"), (4, None), (5, "a b c d e g")], "doc_id bigint, text string")
+    sets = docs.select("doc_id", ngram_set("text", 3).alias("features"))
+    found = evaluate.exact_similar_pairs(sets, threshold=0.6)
+    assert sorted((r["id1"], r["id2"]) for r in found.collect()) == [(1, 2), (1, 5), (2, 5)]
+    assert "Filter" not in written[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert dict(written[0].dtypes)["names"] == "array<bigint>"
