@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from echofind.functions import features, hashing, text
 from echofind.operators import fingerprint
+from echofind.plans.pipeline import Options, compute_signatures
 
 PRIME = 2**31 - 1
 
@@ -158,3 +160,44 @@ def test_results_do_not_depend_on_partitions(documents):
     once = by_id(fingerprint.minhash_signature(docs.repartition(1), num_hashes=8))
     many = by_id(fingerprint.minhash_signature(docs.repartition(13), num_hashes=8))
     assert once == many
+
+
+def test_md5_words_of_every_length():
+    draw = random.Random(3)
+    strings = [bytes(draw.randrange(256) for _ in range(k % 130)) for k in range(400)]
+    sizes = np.array([len(s) for s in strings])
+    starts = np.cumsum([0, *sizes[:-1]])
+    expected = [int.from_bytes(d[:4]) | int.from_bytes(d[4:8]) << 32 for d in (hashlib.md5(s).digest() for s in strings)]
+    assert hashing.md5_words(b"".join(strings), starts, sizes, 64).tolist() == expected
+
+
+@pytest.fixture(scope="module")
+def odd_texts(spark):
+    odd = "\t a b c\x85d\x1ce  f a　b c "
+    long_words = " ".join("é" * k + "x" for k in (5, 30, 60, 7, 8, 90, 5, 30, 60))
+    rows = [(1, "a b c d a b c"), (2, None), (3, ""), (4, "a b"), (5, odd), (6, long_words), (None, "a b c d"), (7, "x y z"), (7, "x y z w")]
+    rows += [(10 + k, " ".join(f"w{i % (40 + k)}" for i in range(300 * k))) for k in range(1, 120)]
+    return spark.createDataFrame(rows, "doc_id bigint, text string").cache()
+
+
+@pytest.mark.parametrize("n", [1, 3])
+def test_word_grams_are_hashed_like_arrays(odd_texts, n):
+    grams, sets = fingerprint.WordGrams("text", n), fingerprint.WordGrams("text", n, distinct=True)
+    for made, expected in (
+        (fingerprint.minhash_signature(odd_texts, grams), fingerprint.minhash_signature(odd_texts, grams.column())),
+        (fingerprint.hybrid_signature(odd_texts, sets), fingerprint.hybrid_signature(odd_texts, sets.column())),
+        (fingerprint.hybrid_signature(odd_texts, sets, hash_bits=64), fingerprint.hybrid_signature(odd_texts, sets.column(), hash_bits=64)),
+        (fingerprint.minhash_signature(odd_texts, grams, hash_method="xxhash64"), fingerprint.minhash_signature(odd_texts, grams.column(), hash_method="xxhash64")),
+    ):
+        assert sorted(map(str, made.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_word_grams_never_become_rows(odd_texts):
+    for made in (
+        fingerprint.minhash_signature(odd_texts, fingerprint.WordGrams()),
+        fingerprint.hybrid_signature(odd_texts, fingerprint.WordGrams(distinct=True)),
+        compute_signatures(odd_texts, Options()),
+        compute_signatures(odd_texts, Options(fingerprint="hybrid")),
+    ):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" not in plan and "MapInArrow" in plan

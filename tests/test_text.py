@@ -178,3 +178,16 @@ def test_tfidf_by_hand(spark):
             expected[w] += tf * idf[w] / norm
     assert {r["token"]: r["weight"] for r in tfidf_token_weights(frame).collect()} == pytest.approx(dict(expected))
     assert {r["token"]: r["weight"] for r in idf_token_weights(frame).collect()} == pytest.approx(idf)
+
+
+def test_words_with_and_without_odd_white_space(spark):
+    from echofind.functions import text as T
+
+    rows = [(k, t) for k, t in enumerate(["a b  c ", "  a", "", " ", None, "a\tb c", "a\u00a0b\u2028c \x85", "\x1fa  b", "a\u200bb c"])]
+    frame = spark.createDataFrame(rows, "k int, text string")
+    plain = F.array_remove(F.split("text", T.SPACES), "")
+    found = frame.select("k", T.words("text").alias("w"), plain.alias("p")).collect()
+    assert all(r["w"] == r["p"] for r in found) and len(found) == len(rows)
+    marks = "a-b, c.d!? \u00e9\u2019\u2014x _y (z) \u4e2d\u3002\U0001f600 1\u00bd"
+    simple = F.regexp_replace(F.lit(marks), f"[^{T.WORD_CHARS}{T.SPACE_CHARS}]+", "")
+    assert spark.range(1).select(T.strip_punctuation(F.lit(marks)) == simple).first()[0]
