@@ -1,0 +1,72 @@
+"""Scores of the pairs behind links, class by class."""
+
+import random
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from echofind.functions import similarity
+from echofind.operators import classes, lsh, tiles
+from echofind.operators.pairs import score_pairs, weigh_pairs
+from echofind.plans import pipeline
+from echofind.sources.store import stored
+
+
+def rows_of(scored):
+    return sorted((r["id1"], r["id2"], r["n1"], r["n2"], r["n_pairs"], r["similarity"]) for r in scored.collect())
+
+
+def corpus(spark, n=60):
+    draw = random.Random(3)
+    words = [f"w{k}" for k in range(12)]
+    texts = [(i, " ".join(draw.choices(words, k=draw.randint(1, 9)))) for i in range(n)]
+    return spark.createDataFrame([*texts, *[(100 + i, t) for i, t in texts[:15]], (200, ""), (201, ""), (202, None)], "doc_id bigint, text string")
+
+
+@pytest.mark.parametrize("index, node_docs, tile_cost, block", [("simhash", 500, 8000, 1024), ("simhash", 3, 10, 1), ("bitsampling", 2, 5, 4)])
+@pytest.mark.parametrize("measure", [similarity.cosine_similarity, similarity.jaccard_text])
+def test_pairs_are_scored_where_they_come_into_being(spark, monkeypatch, index, node_docs, tile_cost, block, measure):
+    monkeypatch.setattr(classes.score_classes, "__defaults__", (node_docs, tile_cost))
+    monkeypatch.setattr(classes, "BLOCK_PAIRS", block)
+    options = pipeline.Options(features="token", fingerprint="simhash", index=index, hash_bits=6, radius=1, num_hash_tables=2, bits_per_table=4)
+    docs = corpus(spark)
+    cleaned = pipeline.clean_corpus(docs, options)
+    groups = stored(pipeline.text_groups(pipeline.compute_signatures(cleaned, options), options))
+    links = stored(pipeline.candidate_links(groups, options))
+    expected = rows_of(score_pairs(weigh_pairs(lsh.expand_pairs(links), groups), cleaned, measure))
+    assert len(expected) > 200 and any(r[0] == r[1] for r in expected)
+
+    def written_out(*_, **__):
+        raise AssertionError("pairs are written out")
+
+    monkeypatch.setattr(lsh, "expand_pairs", written_out)
+    # Hubs by the least partner, and hubs by bucket.
+    assert rows_of(pipeline.score_links(links, groups, cleaned, measure)) == expected
+    found = pipeline.find_near_duplicates(docs, options, measure)
+    assert rows_of(found.scored) == expected
+    assert found.links.columns == ["id1", "id2", "link", "source"]
+
+
+def test_ids_of_several_texts_are_paired_first(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (1, "a b d"), (2, "a b c e"), (3, "a b d e"), (None, "a b c")], "doc_id bigint, text string")
+    options = pipeline.Options(features="token", fingerprint="simhash", hash_bits=2, radius=2)
+    cleaned = pipeline.clean_corpus(docs, options)
+    groups = stored(pipeline.text_groups(pipeline.compute_signatures(cleaned, options), options))
+    links = stored(pipeline.candidate_links(groups, options, buckets=True))
+    paired = weigh_pairs(lsh.expand_pairs(links), groups).collect()
+    found = pipeline.score_links(links, groups, cleaned).collect()
+    assert sorted(tuple(r)[:5] for r in found) == sorted(tuple(r) for r in paired)
+
+
+@pytest.mark.parametrize("largest", [5, 9_000, 10**8])
+def test_products_of_matrices_are_exact(monkeypatch, largest):
+    monkeypatch.setattr(tiles, "BLOCK_WORDS", 7)
+    draw = random.Random(largest)
+    names = [draw.sample(range(40), draw.randint(0, 30)) for _ in range(20)]
+    counts = [[draw.randint(1, largest) for _ in n] for n in names]
+    docs = pd.DataFrame({"names": [np.array(n, np.int64) for n in names], "counts": [np.array(c, np.int64) for c in counts]})
+    a, b = np.arange(0, 12), np.arange(8, 20)
+    found = tiles.block_products(a, b, tiles.vectors(docs))
+    table = [dict(zip(n, c, strict=True)) for n, c in zip(names, counts, strict=True)]
+    assert found.tolist() == [[sum(v * table[j].get(w, 0) for w, v in table[i].items()) for j in b] for i in a]
