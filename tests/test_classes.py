@@ -70,3 +70,18 @@ def test_products_of_matrices_are_exact(monkeypatch, largest):
     found = tiles.block_products(a, b, tiles.vectors(docs))
     table = [dict(zip(n, c, strict=True)) for n, c in zip(names, counts, strict=True)]
     assert found.tolist() == [[sum(v * table[j].get(w, 0) for w, v in table[i].items()) for j in b] for i in a]
+
+
+def test_a_document_travels_once_for_each_bucket(spark):
+    draw = random.Random(9)
+    ids = list(range(400))
+    groups = stored(spark.createDataFrame([(i, 1, draw.getrandbits(12)) for i in ids], "doc_id bigint, n_copies bigint, signature bigint"))
+    links = stored(lsh.bitsampling_candidate_pairs(groups, 3, 2, 8, 12, buckets=True))
+    copies = {r["id2"]: r["id1"] for r in links.where("link = 'copy'").collect()}
+    members = groups.select("doc_id", "n_copies").rdd.map(lambda r: (copies.get(r[0], r[0]), r[0], r[1])).toDF("head bigint, doc_id bigint, n_copies bigint")
+    placed, _, _ = classes._jobs(links, members, classes.NODE_DOCS, classes.TILE_COST / 8)
+    pairs = placed.where("head1 <> head2").collect()
+    places = {(r["_tile"], r[f"head{s}"]) for r in pairs for s in "12"}
+    assert len(pairs) == links.where("link = 'pair'").count() > 400
+    # Two tables: each pair of a document is met in one of its two buckets.
+    assert max(sum(head == h for _, h in places) for head in {h for _, h in places}) <= 2
