@@ -53,3 +53,11 @@ def test_documents_keep_one_array_of_hashes(spark, monkeypatch):
     fingerprint.simhash_weighted(docs, features.tfidf_token_weights(docs), fingerprint.WordGrams("text", 1, True))
     assert ("names", "array<bigint>") in seen[-1] and len(seen[-1]) == 2
     assert not any(kind == "array<string>" for table in seen for _, kind in table)
+
+
+def test_document_frequencies_come_counted_from_the_batches(spark):
+    docs = corpus(spark).coalesce(1)
+    counted = features._token_counts(docs, "text", "doc_id", terms=False)
+    assert counted.columns == ["seen"] and counted.count() == 1
+    plan = features.idf_token_weights(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "array_distinct" not in plan
