@@ -16,11 +16,11 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from echofind.llm.common import BASE, byte_codes, powers, slices
+from echofind.llm.common import BASE, byte_codes, powers, release, slices, written
 
 Q = 12
 #: Edits allowed for each character of a benchmark text, fewer where the lemma would ask for no shared q-gram.
@@ -29,8 +29,11 @@ EDIT_RATE = 0.05
 BLOCK_BYTES = 8 << 20
 #: Pairs of a place in a document and one in an item that are listed at a time; beyond it they are counted by diagonal.
 MOST_PAIRS = 1 << 21
+#: Rows of which a task holds the texts apart from their Arrow batch, and characters whose q-grams it lists at a time.
+SLICE_ROWS, SLICE_CHARS = 256, 1 << 18
 _SPACES = re.compile(r"[\x20\x09-\x0d]+")
 MATCHES = "doc_id long, item_id long, start long, end long, edits int"
+_MATCHES = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32())])
 
 
 def normal(text: str | None) -> str:
@@ -251,6 +254,18 @@ def benchmark_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
+def in_batches(items: Items, batches: Iterator[pa.RecordBatch], q: int) -> Iterator[pa.RecordBatch]:
+    """What ``items`` finds in Arrow batches of doc_id and text, a slice of the texts at a time."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, SLICE_ROWS):
+            ids, texts = (batch.column(name).slice(first, SLICE_ROWS).to_pylist() for name in ("doc_id", "text"))
+            texts = [normal(t) for t in texts]
+            for a, b in slices(texts, SLICE_CHARS):
+                hits = [(int(ids[a + d]), *rest) for d, *rest in items.search(texts[a:b], q)]
+                if hits:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*hits, strict=True), _MATCHES, strict=True)], schema=_MATCHES)
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = EDIT_RATE) -> DataFrame:
     """One row for each benchmark text found in each document: doc_id, item_id, start, end, edits.
 
@@ -266,20 +281,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float =
         # At most BLOCK_BYTES of text and the q-grams in it.
         shared = spark.sparkContext.broadcast(block)
 
-        def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            items = Items(shared.value, q, rate)
-            for batch in batches:
-                texts = [normal(t) for t in batch["text"]]
-                for a, b in slices(texts, 2 << 20):
-                    hits = [(int(batch["doc_id"].iloc[a + d]), *rest) for d, *rest in items.search(texts[a:b], q)]
-                    if hits:
-                        yield pd.DataFrame(hits, columns=["doc_id", "item_id", "start", "end", "edits"])
+        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            release()
+            yield from in_batches(Items(shared.value, q, rate), batches, q)
 
-        part = docs.select("doc_id", "text").filter("doc_id is not null").mapInPandas(search, MATCHES)
+        part = docs.select("doc_id", "text").filter("doc_id is not null").mapInArrow(search, MATCHES)
         found = part if found is None else found.unionByName(part)
     return spark.createDataFrame([], MATCHES) if found is None else found
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark text was found."""
-    return docs.join(find_leaks(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` in which no benchmark text was found.
+
+    The ids of the others are stored first: the search is over before the texts are read for the join, and the join
+    knows how few they are.
+    """
+    leaks = written(find_leaks(docs, benchmark).select("doc_id").distinct())
+    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)

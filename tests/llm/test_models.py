@@ -6,6 +6,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from echofind.llm import decontaminate, nearest, toxicity
@@ -194,3 +195,38 @@ def test_leaks(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in rows} - {i for i, _ in want}
     assert decontaminate.find_leaks(docs.limit(0), benchmark).count() == 0
     assert decontaminate.find_leaks(docs, benchmark.limit(0)).count() == 0
+
+
+def test_texts_are_searched_in_small_slices(monkeypatch):
+    """A task lists the q-grams of a few texts at a time, whatever its Arrow batch holds."""
+    item = "how high are the seven mountains of the northern island"
+    texts = [None, ""] + [f"{'w%d ' % i * 3000}{item if i % 7 == 0 else ''}" for i in range(300)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    items = decontaminate.Items([(1, item)], decontaminate.Q, decontaminate.EDIT_RATE)
+    plain, met = decontaminate.Items.search, []
+
+    def search(self, part, q):
+        met.append(sum(map(len, part)))
+        return plain(self, part, q)
+
+    monkeypatch.setattr(decontaminate.Items, "search", search)
+    found = [r for b in decontaminate.in_batches(items, iter([batch]), decontaminate.Q) for r in b.to_pylist()]
+    assert [r["doc_id"] for r in found] == [i + 2 for i in range(300) if i % 7 == 0]
+    assert len(met) > 5 and max(met) <= 1 << 18
+
+
+def test_clean_does_not_shuffle_texts_for_a_few_leaks(spark, tmp_path):
+    item = "how high are the seven mountains of the northern island"
+    rng = random.Random(3)
+    rows = [(i, " ".join(str(rng.random()) for _ in range(30)) + (item if i % 500 == 0 else "")) for i in range(2_000)]
+    spark.createDataFrame([*rows, rows[500], (None, item)], "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    docs, benchmark = spark.read.parquet(f"{tmp_path}/docs"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    known = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        kept = decontaminate.clean(docs, benchmark)
+        plan = kept._jdf.queryExecution().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+        assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1] + [i for i in range(2_000) if i % 500]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", known)
