@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from echofind.llm.common import BASE, byte_codes, powers, release, slices, written
+from echofind.llm.common import BASE, byte_codes, lean, powers, slices, written
 
 Q = 12
 #: Edits allowed for each character of a benchmark text, fewer where the lemma would ask for no shared q-gram.
@@ -281,8 +281,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float =
         # At most BLOCK_BYTES of text and the q-grams in it.
         shared = spark.sparkContext.broadcast(block)
 
+        @lean
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            release()
             yield from in_batches(Items(shared.value, q, rate), batches, q)
 
         part = docs.select("doc_id", "text").filter("doc_id is not null").mapInArrow(search, MATCHES)

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from echofind.llm import decontaminate, nearest, toxicity
+from echofind.llm import common, decontaminate, nearest, toxicity
 
 
 def toxic_corpus(n=1200):
@@ -230,3 +230,16 @@ def test_clean_does_not_shuffle_texts_for_a_few_leaks(spark, tmp_path):
         assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1] + [i for i in range(2_000) if i % 500]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", known)
+
+
+def test_a_worker_gives_memory_back_when_its_task_ends(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "release", lambda: calls.append("release"))
+
+    def work(batches):
+        for b in batches:
+            calls.append(b)
+            yield b
+
+    assert list(common.lean(work)(iter("ab"))) == ["a", "b"]
+    assert calls == ["release", "a", "b", "release"]
