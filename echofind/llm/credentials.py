@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from echofind.llm.spans import bound, by_start, counted, joined, masked, matches
+from echofind.llm.spans import SPAN, bound, by_start, counted, joined, masked, matches
 
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = BASE_KINDS + ("private_key", "jwt", "provider", "linked_secret", "linked_id", "linked_endpoint")
@@ -33,6 +33,12 @@ WEAK_STRING = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/]*+[0-9])(?=[a-z0-9+/]*+[A-Z])(?
 WEAK_NAME = r"(?i:password|passwd|pwd|secret|token|(?:api|access|account|secret|private|shared)_?key)|(?<![A-Za-z0-9])(?i:pass|key)|(?<=[a-z0-9])(?:Pass|Key)"
 # A quoted value runs to its closing quote, any other to a space or separator.
 WEAK_ASSIGN = rf"(?:{WEAK_NAME})[\"']?\x20*+[:=]\x20*+[\"']?((?<=\")[^\"\r\n]{{6,}}+(?=\")|(?<=')[^'\r\n]{{6,}}+(?=')|[^\s\"',;]{{6,}}+)"
+#: What a match of the patterns has to hold: most texts are searched for none of it.
+ASSIGNED = (":", "=")
+HOLDING = {
+    "access": ("AKIA",), "private_key": ("-----BEGIN ",), "jwt": ("eyJ",),
+    "provider": ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "sk_live_", "AIza"),
+}
 
 
 def _near(parts: Column, scope: int, span: Column) -> Column:
@@ -61,16 +67,32 @@ def secret_spans(text: Column, scope: int = 400) -> Column:
         # Without a weak candidate in scope no part is reported.
         return bound(candidates(p), reported)
 
-    access = matches(text, "access", ACCESS)
-    sure = [matches(text, "assign", ASSIGN, lambda v: F.length(v) >= 12, group=2), access, matches(text, "hex", HEX)]
-    sure += [matches(text, k, pattern) for k, pattern in (("private_key", PRIVATE_KEY), ("jwt", JWT), ("provider", PROVIDER))]
-    named = matches(text, "linked_id", IDENTIFIER, score=0.5)
+    def strong(kind: str, pattern: str) -> Column:
+        return matches(text, kind, pattern, holding=HOLDING.get(kind, ()))
+
+    def only(asked: Column, spans: Column) -> Column:
+        """The spans, searched for only where they are asked for."""
+        return F.when(asked, spans).otherwise(F.array().cast(SPAN))
+
+    def with_endpoints(p: Column) -> Column:
+        ids = F.concat(p["access"], p["named"])
+        ends = only(F.size(ids) > 0, matches(text, "linked_endpoint", ENDPOINT, score=0.5, holding=ASSIGNED))
+        return F.struct(F.concat(p["assign"], p["access"], p["others"]).alias("sure"), ids.alias("ids"), p["named"].alias("named"), ends.alias("ends"))
+
+    def with_weak(p: Column) -> Column:
+        # A weak candidate needs an identifier and an endpoint, and endpoints are there only beside identifiers.
+        asked = F.size(p["ends"]) > 0
+        strings = only(asked, matches(text, "linked_secret", WEAK_STRING, score=0.5))
+        assigned = only(asked, matches(text, "linked_secret", WEAK_ASSIGN, score=0.5, group=1, holding=ASSIGNED))
+        return F.struct(*[p[c].alias(c) for c in ("sure", "ids", "named", "ends")], strings.alias("strings"), assigned.alias("assigned"))
+
+    others = [strong(k, pattern) for k, pattern in (("hex", HEX), ("private_key", PRIVATE_KEY), ("jwt", JWT), ("provider", PROVIDER))]
     parts = F.struct(
-        F.concat(*sure).alias("sure"),
-        matches(text, "linked_secret", WEAK_STRING, score=0.5).alias("strings"), matches(text, "linked_secret", WEAK_ASSIGN, score=0.5, group=1).alias("assigned"),
-        F.concat(access, named).alias("ids"), named.alias("named"), matches(text, "linked_endpoint", ENDPOINT, score=0.5).alias("ends"),
+        matches(text, "assign", ASSIGN, lambda v: F.length(v) >= 12, group=2, holding=ASSIGNED).alias("assign"),
+        strong("access", ACCESS).alias("access"), F.concat(*others).alias("others"),
+        matches(text, "linked_id", IDENTIFIER, score=0.5, holding=ASSIGNED).alias("named"),
     )
-    return bound(parts, link)
+    return bound(bound(bound(parts, with_endpoints), with_weak), link)
 
 
 def find_secrets(docs: DataFrame, text: str = "text", scope: int = 400) -> DataFrame:

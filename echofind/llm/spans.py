@@ -8,6 +8,7 @@ the matches, so both see the same leftmost, non-overlapping matches.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,9 +39,11 @@ def running_sums(values: Column) -> Column:
     return bound(values, lambda v: F.when(F.size(v) == 0, F.array().cast("array<int>")).otherwise(bound(blocks(v), joined)))
 
 
-def matches(text: Column, kind: str, pattern: str, valid: Callable[[Column], Column] | None = None, score: Callable[[Column, Column], Column] | float = 1.0, group: int = 0) -> Column:
+def matches(text: Column, kind: str, pattern: str, valid: Callable[[Column], Column] | None = None, score: Callable[[Column, Column], Column] | float = 1.0, group: int = 0, holding: tuple[str, ...] = ()) -> Column:
     """Spans of ``pattern`` in ``text``; ``value`` is the match, or its ``group`` where one is given.
 
+    ``holding`` names strings of which every match has one: a text without any of them is not searched.
+
     ``valid`` takes the value and drops failing matches, without a retry at another
     place. ``score`` is a number or takes the value and the 60 code points before the match.
     """
@@ -65,7 +68,11 @@ def matches(text: Column, kind: str, pattern: str, valid: Callable[[Column], Col
         out = bound(F.struct(gaps.alias("g"), values.alias("v")), lambda s: build(s["g"], s["v"]))
         return F.when(F.size(found) == 0, F.array().cast(SPAN)).otherwise(F.filter(out, lambda s: valid(s["value"])) if valid else out)
 
-    return bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans).cast(SPAN)
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    if holding:
+        held = reduce(lambda x, y: x | y, [F.contains(text, F.lit(part)) for part in holding])
+        found = F.when(~held, F.array().cast("array<string>")).otherwise(found)
+    return bound(found, spans).cast(SPAN)
 
 
 def joined(spans: Column) -> Column:

@@ -144,3 +144,16 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert pii.digest(pii.find_pii(none)).count() == 0
     assert credentials.digest(credentials.find_secrets(none)).count() == 0
+
+
+def test_patterns_are_searched_where_they_can_match(spark):
+    plan = credentials.find_secrets(spark.createDataFrame([(1, "x")], "doc_id long, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert all(f", {part})" in plan for part in ("AKIA", "eyJ", "sk_live_", "="))
+    cases = [
+        ("ghr_" + "a1" * 18, "[provider]"), ("xoxb-1234567890", "[provider]"), ("sk_live_" + "a" * 16, "[provider]"), ("AIza" + "b" * 35, "[provider]"),
+        ("eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSMeK", "[jwt]"), ("AKIA" + "A" * 14, "[access]"), ("token = abcdefghijkl", "[assign]"), ("0123456789abcdef", "[hex]"),
+        ("login=bob sb://a.example pwd:abc1234", "[linked_id] [linked_endpoint] [linked_secret]"), ("sb://a.example pwd:abc1234", "sb://a.example pwd:abc1234"),
+        ("login=bob pwd:abc1234", "login=bob pwd:abc1234"), ("", ""),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    assert [r["text"] for r in credentials.redact(df).orderBy("doc_id").collect()] == [want for _, want in cases]
