@@ -179,6 +179,19 @@ def test_texts_of_one_id(spark):
     assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
 
 
+def test_only_texts_that_are_asked_for_move(spark):
+    """Of many texts without relatives none reaches the join with the chosen sets."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(words(rng, 60, 10**6))) for i in range(300)] + [(300, "a " * 30), (301, "a " * 30 + "b"), (None, "a " * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = docs.filter("doc_id in (7, 300, 301)").select("doc_id")
+    kept = jaccard_join.asked_for(docs, wanted)
+    assert kept.columns == docs.columns and [r["doc_id"] for r in kept.orderBy("doc_id").collect()] == [7, 300, 301]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "MapInArrow" in plan
+    assert jaccard_join.asked_for(docs, wanted.limit(0)).count() == 0
+
+
 def test_very_long_texts(spark):
     rng = random.Random(2)
     base = words(rng, 300_000, 10**6)
