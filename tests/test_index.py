@@ -67,6 +67,26 @@ def test_entries_are_not_shuffled(spark, tmp_path):
     assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
 
 
+def test_entries_meet_lists_of_probes(spark, tmp_path, monkeypatch):
+    """The probes of a name travel as lists of a bounded length, and every pair is met as in the definition."""
+    monkeypatch.setattr(index, "MET_PROBES", 3)
+    rows, df = signatures(spark)
+    stock = index.StoredIndex.create(df, str(tmp_path / "i"), index.IndexSettings(4, 3, 2, 16, buckets=4))
+    probes = probes_of(df).unionByName(probes_of(df).where("probe_id = 4"))
+    met = stock.met(probes)
+    assert met.columns == ["probe_id", "doc_id", "part"] and "collect_list" in met._jdf.queryExecution().optimizedPlan().toString()
+    got = met.collect()
+    want = []
+    for p, m, s in [r for r in rows if r[0] % 4 == 0] + [r for r in rows if r[0] == 4]:
+        for d, n, t in rows:
+            if m and n:
+                want += [(p, d, -1)] * sum(m[3 * k : 3 * k + 3] == n[3 * k : 3 * k + 3] for k in range(4))
+            if s is not None and t is not None and (s ^ t).bit_count() <= 2:
+                want.append((p, d, next(i for i, mask in enumerate(stock.settings.masks) if not (s ^ t) & mask)))
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert stock.met(df.limit(0).withColumnRenamed("doc_id", "probe_id")).count() == 0
+
+
 def test_bands_of_short_signatures_are_an_error(spark, tmp_path):
     short = spark.createDataFrame([(1, [1, 2], 3)], "doc_id bigint, minhash array<bigint>, simhash bigint")
     with pytest.raises(Exception, match="exceeds the signature length"):
