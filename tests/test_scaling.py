@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
@@ -49,6 +50,15 @@ def test_weighted_probe_ships_signatures_by_cell(spark, tmp_path):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, same.collect()))
 
 
+def test_cells_grow_with_the_pairs(spark):
+    """Many pairs make larger cells, so that a document is not shipped once for each few of them."""
+    left, right = (spark.range(1000).select(F.col("id").alias(c), F.lit(1).alias("v")) for c in ("probe_id", "doc_id"))
+    pairs = left.select("probe_id").crossJoin(right.select("doc_id"))
+    got = tiles.in_grid(pairs, left, right, lambda x, y, docs: {"held": np.full(len(x), len(docs))}, ("held",))
+    rows, least = got.agg(F.count("*"), F.min("held")).first()
+    assert rows == 1_000_000 and least > 450
+
+
 @pytest.mark.parametrize("cell_pairs, cell_side", [(32_000, 8_000), (5, 3)])
 def test_grid_judges_every_pair_with_every_row(spark, cell_pairs, cell_side):
     left = spark.createDataFrame([(1, 10), (2, 20), (2, 21), (3, 30), (9, 90)], "probe_id bigint, v bigint")
