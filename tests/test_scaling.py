@@ -109,6 +109,20 @@ def test_texts_are_shuffled_once_for_a_tile(spark, tile_pairs):
     assert "text2" not in plan[plan.index("FlatMapCoGroupsInPandas [") :].split("\n", 1)[1]
 
 
+def test_texts_are_split_where_they_are_compared(spark):
+    """No list of words is made for the worker; its words are those of ``words``."""
+    draw = random.Random(8)
+    made = lambda: "".join(draw.choice([" ", "  ", "\t", "\n", "\xa0", "\u3000", "\x85", "\x1c", "\u2028", "a", "b", "\u200b"]) for _ in range(draw.randrange(0, 14)))
+    rows = [(i, i + 1000, made(), made()) for i in range(150)] + [(1, 2, None, "a"), (1, 3, "a", None)]
+    texts = spark.createDataFrame(rows, "id1 bigint, id2 bigint, text1 string, text2 string")
+    marked = diff.pair_diff(texts, deal=False)
+    assert "split(" not in plan_of(marked)
+    sides = [F.transform(f"diff{k}", lambda m: m["word"]).alias(f"w{k}") for k in (1, 2)]
+    got = sorted((r["id1"], r["w1"], r["w2"]) for r in marked.select("id1", *sides).collect())
+    split = texts.where("text1 is not null and text2 is not null").select("id1", text.words("text1").alias("w1"), text.words("text2").alias("w2"))
+    assert got == sorted((r["id1"], r["w1"], r["w2"]) for r in split.collect())
+
+
 def test_runs_of_white_space(spark):
     draw = random.Random(4)
     texts = ["".join(draw.choice([" ", " ", "\t", "\n", " ", "　", "\x85", "\x1c", "a", "b"]) for _ in range(draw.randrange(0, 12))) for _ in range(400)]
