@@ -9,8 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from echofind.operators import evaluate, prefixes
+from echofind.plans import queries
 from echofind.sources.store import stored
 
+exact = evaluate.exact_similar_pairs
+
 
 def sets_of(spark, n=120, kind="bigint"):
     """Families around a base, sets alone, one name in all, and an id that two sets share."""
@@ -64,3 +67,18 @@ def test_occurrences_leave_packed(spark, monkeypatch):
     assert written[1].select("hub").distinct().count() == 1
     assert evaluate.exact_similar_pairs(frame.limit(0), threshold=0.6).count() == 0
     assert evaluate.exact_similar_pairs(frame.select(F.lit(None).cast("bigint").alias("doc_id"), "features"), threshold=0.6).count() == 0
+
+
+def test_texts_meet_the_ids_of_copies(spark, tmp_path, monkeypatch):
+    """Texts stay where they are; of copies the smallest id is kept, rows without id are not."""
+    seen = []
+    monkeypatch.setattr(queries.evaluate, "exact_similar_pairs", lambda sets, threshold: (seen.append(sets), exact(sets, threshold=threshold))[1])
+    words = [f"w{k}" for k in range(30)]
+    rows = [(1, " ".join(words)), (2, " ".join(words)), (3, " ".join([*words, "x"])), (4, None), (None, " ".join(words)), (7, "one two three"), (5, " ".join([*words, "y"])), (6, "")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(9).write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("exact_similar_pairs", "precision_recall_f1"):
+        found = queries.QUERIES[name](spark, str(tmp_path))
+        plan = seen[-1]._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftAnti" in plan and "LeftSemi" not in plan
+        if name == "exact_similar_pairs":
+            assert sorted((r["id1"], r["id2"]) for r in found.collect()) == [(1, 3), (1, 5), (3, 5)]
